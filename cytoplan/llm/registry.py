@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, exact_dedup, secrets, sharding, toxicity, warc
+from . import bpe, chat, decontaminate, exact_dedup, secrets, sharding, toxicity, warc
 from .common import table
 
 
@@ -20,6 +20,7 @@ QUERIES = {
     "op3_warc": warc.op3,
     "op5_exact_dedup": op5,
     "op6_bpe": bpe.op6,
+    "op7_decontaminate": decontaminate.op7,
     "op8_secrets": secrets.op8,
     "op9_sharding": op9,
 }
@@ -31,4 +32,4 @@ k as (select *, row_number() over (partition by norm order by length(t) desc, do
 select doc_id, f keep_id, c group_size, r = 1 kept, sha256(norm) text_sha256, length(t)::bigint n_chars from k
 """
 
-SQL = {"op2_chat_formatting": chat.OP2_SQL, "op3_warc": warc.OP3_SQL, "op5_exact_dedup": OP5_SQL}
+SQL = {"op2_chat_formatting": chat.OP2_SQL, "op3_warc": warc.OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_decontaminate": decontaminate.OP7_SQL}
