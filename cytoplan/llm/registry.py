@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, exact_dedup, secrets, sharding, toxicity, warc
+from . import bpe, chat, decontaminate, exact_dedup, secrets, sharding, substring_dedup, toxicity, warc
 from .common import table
 
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op1_toxicity": toxicity.op1,
     "op2_chat_formatting": chat.op2,
     "op3_warc": warc.op3,
+    "op4_substring_dedup": substring_dedup.op4,
     "op5_exact_dedup": op5,
     "op6_bpe": bpe.op6,
     "op7_decontaminate": decontaminate.op7,
@@ -32,4 +33,4 @@ k as (select *, row_number() over (partition by norm order by length(t) desc, do
 select doc_id, f keep_id, c group_size, r = 1 kept, sha256(norm) text_sha256, length(t)::bigint n_chars from k
 """
 
-SQL = {"op2_chat_formatting": chat.OP2_SQL, "op3_warc": warc.OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_decontaminate": decontaminate.OP7_SQL}
+SQL = {"op4_substring_dedup": substring_dedup.OP4_SQL, "op2_chat_formatting": chat.OP2_SQL, "op3_warc": warc.OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_decontaminate": decontaminate.OP7_SQL}
