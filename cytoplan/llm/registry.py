@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, exact_dedup, secrets, sharding, substring_dedup, toxicity, warc
+from . import bpe, chat, decontaminate, exact_dedup, jaccard, secrets, sharding, substring_dedup, toxicity, warc
 from .common import table
 
 
@@ -24,6 +24,7 @@ QUERIES = {
     "op7_decontaminate": decontaminate.op7,
     "op8_secrets": secrets.op8,
     "op9_sharding": op9,
+    "op10_jaccard_join": jaccard.op10,
 }
 
 OP5_SQL = r"""
@@ -33,4 +34,4 @@ k as (select *, row_number() over (partition by norm order by length(t) desc, do
 select doc_id, f keep_id, c group_size, r = 1 kept, sha256(norm) text_sha256, length(t)::bigint n_chars from k
 """
 
-SQL = {"op4_substring_dedup": substring_dedup.OP4_SQL, "op2_chat_formatting": chat.OP2_SQL, "op3_warc": warc.OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_decontaminate": decontaminate.OP7_SQL}
+SQL = {"op4_substring_dedup": substring_dedup.OP4_SQL, "op2_chat_formatting": chat.OP2_SQL, "op3_warc": warc.OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_decontaminate": decontaminate.OP7_SQL, "op10_jaccard_join": jaccard.OP10_SQL}

@@ -26,9 +26,10 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The runs of bytes other than ASCII white space."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def words_of(text: str | None, lower: bool = False) -> list[bytes]:
+    """The runs of bytes other than ASCII white space, A-Z lower-cased if asked for."""
+    raw = text.encode("utf-8", "surrogatepass") if text else b""
+    return (raw.lower() if lower else raw).split()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -42,7 +43,7 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     n = len(h) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
+    out = np.full(n, k, np.uint64)
     for j in range(k):
         out = (out ^ (out >> _U(31))) * _MIX + h[j : j + n]
     return mix(out)
