@@ -1,11 +1,52 @@
-"""Training-text pipeline: the stages are added as their operators are."""
+"""Training-text pipeline over documents: each stage takes the rows that its predecessor kept.
 
-STAGES: list = []
+toxicity drops what the compression-distance classifier rejects, exact_dedup keeps one of equal
+texts, jaccard keeps one document of each component of near copies, decontaminate drops documents
+that hold a benchmark window, and bpe encodes what is left. All stages but the last return the
+columns of documents. An empty table passes through every stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cytoplan.llm import bpe, decontaminate, exact_dedup, jaccard, toxicity
+from cytoplan.llm.common import materialize, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.keep_first_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(docs, bpe.public_vocabulary())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_near_copies),
+    ("decontaminate", drop_contaminated),
+    ("bpe", encode),
+]
+#: A trained classifier is not SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

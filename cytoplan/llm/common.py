@@ -60,6 +60,18 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def keep_one_row(docs: DataFrame, key: Column, rows: DataFrame) -> DataFrame:
+    """docs without the rows whose key is in rows(key, kept) unkept; a kept key keeps one row.
+
+    rows needs to list only keys that lose a row. Texts are shuffled only beyond the broadcast bound."""
+    listed = materialize(rows.groupBy("key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("n > 1 or not kept"), "losing")
+    losing, repeated = listed.select("key"), listed.where("kept").select("key")
+    marked = docs.withColumn("__key", key)
+    stay = marked.join(small_side(losing), marked["__key"].eqNullSafe(losing["key"]), "left_anti")
+    one = marked.join(small_side(repeated), marked["__key"].eqNullSafe(repeated["key"]), "left_semi").dropDuplicates(["__key"])
+    return stay.unionByName(one).drop("__key")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_ascii_space, materialize, small_side, text_or_empty
+from .common import drop_ascii_space, keep_one_row, materialize, small_side, text_or_empty
 
 
 def split_directory(cells: dict[int, int], max_depth: int, capacity: int) -> list[tuple[int, int, int]]:
@@ -96,16 +96,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first_copies(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that stay, with all their columns; texts are shuffled only where the
-    list of dropped rows is beyond the broadcast bound."""
+    """The rows of docs that stay, with all their columns."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     verdict = exact_dedup(docs, **options).where("group_size > 1")
-    rows = verdict.groupBy(F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), F.col("n_chars").alias("n")).alias("__row"))
-    seen = materialize(rows.agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("n > 1 or not kept"), "dropped")
+    rows = verdict.select(F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), F.col("n_chars").alias("n")).alias("key"), "kept")
     text = text_or_empty(text_col)
-    row = F.struct(F.col(id_col).alias("id"), F.sha2(drop_ascii_space(text), 256).alias("sha"), F.length(text).cast("long").alias("n"))
-    marked = docs.withColumn("__row", row)
-    drop, repeated = seen.select("__row"), seen.where("kept").select("__row")
-    stay = marked.join(small_side(drop), marked["__row"].eqNullSafe(drop["__row"]), "left_anti")
-    one = marked.join(small_side(repeated), marked["__row"].eqNullSafe(repeated["__row"]), "left_semi").dropDuplicates(["__row"])
-    return stay.unionByName(one).drop("__row")
+    return keep_one_row(docs, F.struct(F.col(id_col).alias("id"), F.sha2(drop_ascii_space(text), 256).alias("sha"), F.length(text).cast("long").alias("n")), rows)

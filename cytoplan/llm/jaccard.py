@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialize, n_shuffle, small_side, table, text_or_empty
+from .common import arrow_rows, keep_one_row, materialize, n_shuffle, small_side, table, text_or_empty
 from .shingles import WordHashes, gram_hashes, words_of
 
 GRAM = 5
@@ -155,7 +155,7 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """row, doc_id, n, cid, sketch, prefix: one row a document."""
+    """row, doc_id, h (a hash of the text), n, cid, sketch, prefix: one row a document."""
     frequent, rank = frequent_tokens(docs)
     sent = docs.sparkSession.sparkContext.broadcast((frequent, rank))
 
@@ -164,17 +164,17 @@ def describe(docs: DataFrame) -> DataFrame:
         frequent, rank = sent.value
         for b in batches:
             n, cid, sk, pre = [], [], [], []
-            for text in b.column(2).to_pylist():
+            for text in b.column(3).to_pylist():
                 s = shingle_set(text, hashes)
                 n.append(len(s))
                 cid.append(class_id(s) if len(s) else None)
                 sk.append(sketch(s))
                 pre.append(rare_first(s, frequent, rank).view(np.int64))
             lists = lambda parts: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), lists(sk), lists(pre)], names=["row", "doc_id", "n", "cid", "sketch", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), lists(sk), lists(pre)], names=["row", "doc_id", "h", "n", "cid", "sketch", "prefix"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return materialize(rows.mapInArrow(run, "row long, doc_id long, n long, cid long, sketch array<long>, prefix array<long>"), "described")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("h"), "text")
+    return materialize(rows.mapInArrow(run, "row long, doc_id long, h long, n long, cid long, sketch array<long>, prefix array<long>"), "described")
 
 
 def connect(edges: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def link_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, n_shingles, component_id; row tells repeated rows apart."""
+    """doc_id, n_shingles, component_id, comp (the component's least class, null without words), row."""
     arrow_rows(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     described = describe(docs)
@@ -276,23 +276,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = described.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least"))
     named = materialize(least.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "named")
     whole = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_class = named.join(whole, "comp").select("cid", "component_id")
-    out = described.select("row", "doc_id", "n", "cid").join(by_class, "cid", "left")
-    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    by_class = named.join(whole, "comp").select("cid", "component_id", "comp")
+    out = described.select("doc_id", "h", "n", "cid").join(by_class, "cid", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "comp", "h")
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without those that share a component with a smaller id.
+    """The rows of docs, with all their columns, less all but one of each component.
 
-    Rows without words stay; of repeated ids in one component, all rows of the least id stay."""
-    found = jaccard_components(docs, id_col, text_col)
-    drop = found.where("n_shingles > 0 and not (doc_id <=> component_id)").select(F.col("doc_id").alias("__d")).distinct()
-    drop = materialize(drop, "drop")
-    return docs.join(small_side(drop), docs[id_col].cast("long").eqNullSafe(drop["__d"]), "left_anti")
+    The row of the least id stays (null ids last, then the least text hash); rows without words stay."""
+    found = jaccard_components(docs, id_col, text_col).where("comp is not null").select("comp", F.struct(F.col("doc_id").alias("id"), "h").alias("key"))
+    found = materialize(found, "found")
+    first = F.min(F.struct(F.col("key.id").isNull().alias("last"), F.col("key.id").alias("id"), F.col("key.h").alias("h")))
+    best = materialize(found.groupBy("comp").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1").select("comp", F.struct("first.id", "first.h").alias("best")), "best")
+    rows = found.join(small_side(best), "comp").select("key", F.col("key").eqNullSafe(F.col("best")).alias("kept"))
+    return keep_one_row(docs, F.struct(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)).alias("h")), rows)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("row")
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("comp", "h")
 
 
 OP10_SQL = r"""
