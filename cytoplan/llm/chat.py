@@ -40,21 +40,22 @@ def reply_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     roots = nodes.join(linked.select("tree", "node"), ["tree", "node"], "left_anti").select("tree", "node", F.lit(None).cast(nodes.schema["node"].dataType).alias("up"), "score")
     step = linked.unionByName(roots).select("tree", "node", "up", F.col("score").cast("double").alias("total"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.col("up").isNull().alias("rooted"))
     step = materialize(step, "jump0")
-    jumps = []
+    # Rows whose jump has left the tree are finished and only looked up; the others double it.
+    done, going, jumps = step.where("up is null"), step.where("up is not null"), []
     for k in range(MAX_ROUNDS):
-        jumps.append(step.where("up is not null").select("tree", "node", "up"))
-        open_rows = step.where("up is not null").count()
-        if not open_rows:
+        open_rows = going.count()
+        if not open_rows or 2**k > 4 * open_rows:  # beyond that only cycles are left
             break
-        far = step.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("depth").alias("d2"), F.col("rooted").alias("r2"))
-        doubled = step.join(far, ["tree", "up"], "left").select(
+        jumps.append(going)
+        every = done.unionByName(going)
+        far = every.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("depth").alias("d2"), F.col("rooted").alias("r2"))
+        doubled = going.join(far, ["tree", "up"], "left").select(
             "tree", "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
             (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), (F.col("rooted") | F.coalesce("r2", F.lit(False))).alias("rooted"),
         )
         step = materialize(doubled, f"jump{k + 1}")
-        if 2**k > 4 * open_rows and step.where("not rooted").count() == step.where("up is not null").count():
-            break  # only cycles are left
-    done = step.where("rooted").select("tree", "node", "total", "depth")
+        done, going = done.unionByName(step.where("up is null")), step.where("up is not null")
+    done = done.where("rooted").select("tree", "node", "total", "depth")
     leaves = done.join(linked.select("tree", F.col("up").alias("node")).distinct(), ["tree", "node"], "left_anti")
     by_score = Window.partitionBy("tree").orderBy(F.col("total").desc_nulls_last(), F.col("node").asc())
     chosen = leaves.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top)
@@ -62,7 +63,7 @@ def reply_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     # All distances are sums of distinct powers of two: apply each jump table once, longest first.
     paths = chosen.withColumn("node", F.col("leaf"))
     for k, jump in reversed(list(enumerate(jumps))):
-        paths = materialize(paths.unionByName(paths.join(jump, ["tree", "node"]).select("tree", "rank", "leaf", F.col("up").alias("node"))), f"path{k}")
+        paths = materialize(paths.unionByName(paths.join(jump.select("tree", "node", "up"), ["tree", "node"]).select("tree", "rank", "leaf", F.col("up").alias("node"))), f"path{k}")
     return paths.join(done.select("tree", "node", "depth"), ["tree", "node"])
 
 
