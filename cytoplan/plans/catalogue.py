@@ -1,6 +1,8 @@
-"""The registered queries and their SQL oracles."""
+"""All registered queries and their SQL oracles."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import analysis, barcodes, counting, storage  # noqa: F401
+from .registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
