@@ -14,6 +14,7 @@ string). Texts are split as pre-tokens whole, however long. Repeated rows repeat
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import mmap
 import re as stdre
@@ -29,16 +30,26 @@ from pyspark.sql import functions as F
 from .common import SharedFiles, arrow_rows, local_path, new_dir, table
 
 #: Most words that the lexicon holds; the rest are merged as they come.
-LEXICON_WORDS = 60_000
+LEXICON_WORDS = 300_000
 #: Words of a lexicon are at most so many bytes.
 LEXICON_BYTES = 48
 #: Distinct words counted before a task hands its counts on.
-COUNT_WORDS = 200_000
+COUNT_WORDS = 400_000
 #: Resolved words that a task remembers.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 #: Splits a text as the byte-level vocabulary does (fixed values: white space as its matcher has it).
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+#: Texts without code points from here on are split by the plainer and faster of two equal matchers.
+WIDE = 0x250
+
+
+def _matcher(low: bool):
+    """findall of PATTERN, with the classes listed character by character if low."""
+    if not low:
+        return regex.compile(PATTERN.replace("{L}", r"\p{L}").replace("{N}", r"\p{N}").replace("{S}", SPACE)).findall
+    listed = lambda c: "".join(stdre.escape(x) for x in map(chr, range(WIDE)) if regex.match(f"[{c}]", x))
+    return stdre.compile(PATTERN.replace("{L}", listed(r"\p{L}")).replace("{N}", listed(r"\p{N}")).replace("{S}", listed(SPACE))).findall
 
 
 def byte_names() -> list[str]:
@@ -51,6 +62,11 @@ def byte_names() -> list[str]:
     return [names[b] for b in range(256)]
 
 
+#: Ids take so many bits in packed pairs.
+BITS = 20
+MASK, NONE = (1 << BITS) - 1, 1 << 60
+
+
 class Vocabulary:
     """Ids, merge ranks and special tokens of a byte-level BPE file."""
 
@@ -61,39 +77,60 @@ class Vocabulary:
         raw = lambda s: bytes(of[c] for c in s)
         self.ids = {raw(t): i for t, i in spec["model"]["vocab"].items()}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
+        #: (left id, right id) -> (rank, id) of the merged token, each pair packed in a number
+        self.merges: dict[int, int] = {}
+        for rank, (a, b) in enumerate(pairs):
+            left, right = raw(a), raw(b)
+            self.merges.setdefault(self.ids[left] << BITS | self.ids[right], rank << BITS | self.ids[left + right])
+        self.byte_ids = [self.ids[bytes([i])] for i in range(256)]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
         self.cut = stdre.compile("(" + "|".join(map(stdre.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words = regex.compile(PATTERN).findall
+        self.low, self.any, self.wide = _matcher(True), _matcher(False), stdre.compile(f"[^\0-{chr(WIDE - 1)}]").search
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merging: always the pair of the lowest rank, leftmost first.
-
-        Pairs wait in a heap and parts in a linked list, so a very long word takes n log n."""
-        import heapq
-
-        parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
-        n = len(parts)
+        """Exact merging: always the pair of the lowest rank, leftmost first."""
+        if len(word) > 64:
+            return self._merge_long(word)
+        merged, byte_ids = self.merges.get, self.byte_ids
+        parts = [byte_ids[c] for c in word]
+        pairs = [merged(a << BITS | b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+        while pairs and (low := min(pairs)) != NONE:
+            i = pairs.index(low)
+            parts[i] = token = low & MASK
+            del parts[i + 1], pairs[i]
+            if i:
+                pairs[i - 1] = merged(parts[i - 1] << BITS | token, NONE)
+            if i < len(pairs):
+                pairs[i] = merged(token << BITS | parts[i + 1], NONE)
+        return parts
+
+    def _merge_long(self, word: bytes) -> list[int]:
+        """The same for long words in n log n: pairs wait in a heap, parts in a linked list."""
+        parts = [self.byte_ids[c] for c in word]
+        n, merged = len(parts), self.merges.get
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := self.ranks.get((parts[i], parts[i + 1]))) is not None]
+        heap = [(v, i, parts[i], parts[i + 1]) for i in range(n - 1) if (v := merged(parts[i] << BITS | parts[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            v, i, a, b = heapq.heappop(heap)
             j = right[i]
             if parts[i] != a or j < 0 or parts[j] != b:
                 continue
-            parts[i], parts[j] = a + b, None
+            parts[i], parts[j] = v & MASK, -1
             right[i] = k = right[j]
             if k >= 0:
                 left[k] = i
             for x, y in ((left[i], i), (i, k)):
-                if x >= 0 and y >= 0 and (r := self.ranks.get((parts[x], parts[y]))) is not None:
-                    heapq.heappush(heap, (r, x, parts[x], parts[y]))
-        return [self.ids[p] for p in parts if p is not None]
+                if x >= 0 and y >= 0 and (v := merged(parts[x] << BITS | parts[y])) is not None:
+                    heapq.heappush(heap, (v, x, parts[x], parts[y]))
+        return [p for p in parts if p >= 0]
 
-    def pieces(self, text: str):
-        """(special id or None, pre-tokens)."""
+    def words(self, text: str) -> list[str]:
+        return self.low(text) if text.isascii() or self.wide(text) is None else self.any(text)
+
+    def sections(self, text: str):
+        """(special id or None, pre-tokens) in order."""
         for i, part in enumerate(self.cut.split(text) if self.cut else [text]):
             if i % 2:
                 yield self.special[part], ()
@@ -153,22 +190,20 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
                 nodes.append(node)
 
     visit(root)
-    first = np.zeros(len(nodes) + 1, np.int32)
     final = np.array([n.final for n in nodes], np.int32)
-    label, target, skipped = [], [], []
+    edge, target, skipped = [], [], []
     for i, node in enumerate(nodes):
         passed = int(node.final)
         for byte in sorted(node.edges):
             child = node.edges[byte]
-            label.append(byte)
+            edge.append(256 * i + byte)
             target.append(child.number)
             skipped.append(passed)
             passed += child.count
-        first[i + 1] = len(label)
     start = np.zeros(len(order) + 1, np.int32)
     start[1:] = np.cumsum([len(words[w]) for w in order])
     flat = np.array([i for w in order for i in words[w]], np.int32)
-    arrays = [first, final, np.array(label, np.int32), np.array(target, np.int32), np.array(skipped, np.int32), start, flat]
+    arrays = [final, np.array(edge, np.int32), np.array(target, np.int32), np.array(skipped, np.int32), start, flat]
     head = np.array([len(nodes) - 1, *(len(a) for a in arrays)], np.int32)
     return b"".join(a.tobytes() for a in [head, *arrays])
 
@@ -177,70 +212,85 @@ class Lexicon:
     """Lookups in a compiled automaton, mapped from a file or held in a buffer."""
 
     def __init__(self, buffer):
-        head = np.frombuffer(buffer, np.int32, 8)
-        arrays, at = [], 32
+        head = np.frombuffer(buffer, np.int32, 7)
+        arrays, at = [], 28
         for n in head[1:]:
             arrays.append(np.frombuffer(buffer, np.int32, int(n), at))
             at += 4 * int(n)
-        first, final, label, target, skipped, start, ids = arrays
-        self.root, self.ids, self.start = int(head[0]), ids, start
-        self.first, self.final, self.label, self.target, self.skipped = (memoryview(a) for a in (first, final, label, target, skipped))
+        self.root = int(head[0])
+        self.final, self.edge, self.target, self.skipped, self.start, self.ids = arrays
 
     @classmethod
     def map(cls, path: str) -> Lexicon:
         with open(path, "rb") as f:
             return cls(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
-    def get(self, word: bytes) -> list[int] | None:
-        node, rank = self.root, 0
-        first, label, target, skipped = self.first, self.label, self.target, self.skipped
-        for byte in word:
-            lo, hi = first[node], first[node + 1]
-            while lo < hi:
-                mid = (lo + hi) // 2
-                if label[mid] < byte:
-                    lo = mid + 1
-                else:
-                    hi = mid
-            if lo == first[node + 1] or label[lo] != byte:
-                return None
-            rank += skipped[lo]
-            node = target[lo]
-        return self.ids[self.start[rank] : self.start[rank + 1]].tolist() if self.final[node] else None
-
-
-class Encoder(dict):
-    """word -> ids, resolved by the lexicon, else by merging; remembers a bounded number."""
+    def get(self, words: list[bytes]) -> list[list[int] | None]:
+        """All words step through the automaton together, a byte at a time."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        begin = np.cumsum(size) - size
+        node, rank, alive = np.full(len(words), self.root), np.zeros(len(words), np.int64), np.arange(len(words))
+        if not len(self.edge):
+            return [None] * len(words)
+        out: list[list[int] | None] = [None] * len(words)
+        for j in range(int(size.max(initial=0)) + 1):
+            done = alive[size[alive] == j]
+            for w in done[self.final[node[done]] == 1].tolist():
+                r = int(rank[w])
+                out[w] = self.ids[self.start[r] : self.start[r + 1]].tolist()
+            alive = alive[size[alive] > j]
+            key = node[alive] * 256 + flat[begin[alive] + j]
+            at = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
+            ok = self.edge[at] == key
+            alive, at = alive[ok], at[ok]
+            node[alive] = self.target[at]
+            rank[alive] += self.skipped[at]
+            if not len(alive):
+                break
+        return out
+
+
+class Encoder:
+    """Texts to ids by the lexicon, and by merging words that it lacks; remembers a bounded number of words.
+
+    Of a word it keeps its ids, written out, and the bytes that those ids decode to."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-
-    def __missing__(self, word: str) -> list[int]:
-        raw = word.encode()
-        ids = self.lexicon.get(raw) if self.lexicon is not None and len(raw) <= LEXICON_BYTES else None
-        if ids is None:
-            ids = self.vocabulary.merge(raw)
-        if len(word) <= LEXICON_BYTES:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for special, words in self.vocabulary.pieces(text):
-            if special is not None:
-                out.append(special)
-            else:
-                for ids in map(self.__getitem__, words):
-                    out += ids
+        self.names = {i: str(i) for i in vocabulary.bytes}
+        self.ids: dict[str, str] = {}
+        self.bytes: dict[str, bytes] = {}
+
+    def _resolve(self, words: list[str]) -> None:
+        raw = [w.encode() for w in words]
+        found = self.lexicon.get([r if len(r) <= LEXICON_BYTES else b"" for r in raw]) if self.lexicon else [None] * len(raw)
+        merge, name, spelt = self.vocabulary.merge, self.names.__getitem__, self.vocabulary.bytes.__getitem__
+        for w, r, ids in zip(words, raw, found, strict=True):
+            ids = merge(r) if ids is None else ids
+            self.ids[w] = ",".join(map(name, ids))
+            self.bytes[w] = b"".join(map(spelt, ids))
+
+    def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
+        """Ids joined by commas, and the bytes that they decode to."""
+        cut = [list(self.vocabulary.sections(t)) for t in texts]
+        here = set().union(*(words for sections in cut for _, words in sections))
+        if len(self.ids) + len(here) > CACHE_WORDS:
+            self.ids, self.bytes = {}, {}
+        self._resolve(list(here - self.ids.keys()))
+        ids, raw, out = self.ids.__getitem__, self.bytes.__getitem__, []
+        for sections in cut:
+            spans = [(self.names[special], self.vocabulary.bytes[special]) if special is not None else (",".join(map(ids, words)), b"".join(map(raw, words))) for special, words in sections]
+            out.append(spans[0] if len(spans) == 1 else (",".join(s for s, _ in spans), b"".join(b for _, b in spans)))
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.vocabulary.bytes.__getitem__, ids)).decode("utf-8", errors="replace")
+
+def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
+    return b"".join(map(vocabulary.bytes.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
 _loaded: dict[str, Vocabulary] = {}
+_encoders: dict[tuple, Encoder] = {}
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -257,17 +307,16 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
         voc, seen = vocabulary(path), Counter()
 
         def out():
-            words = list(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
             seen.clear()
 
         for b in batches:
             for text in b.column(0).to_pylist():
-                for special, words in voc.pieces(text or ""):
+                for special, words in voc.sections(text or ""):
                     if special is None:
                         seen.update(words)
-                if len(seen) >= COUNT_WORDS:
-                    yield from out()
+            if len(seen) >= COUNT_WORDS:
+                yield from out()
         yield from out()
 
     counted = docs.select(text_col).mapInArrow(count, "word string, n long")
@@ -276,9 +325,9 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
 
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: int = LEXICON_WORDS) -> bytes:
     """The compiled automaton of the most frequent words of docs: at most size words reach the driver."""
-    top = count_words(docs, path, text_col).where("n > 1").orderBy(F.col("n").desc(), "word").limit(size).collect()
+    top = count_words(docs, path, text_col).where("n > 1").orderBy(F.col("n").desc(), "word").limit(size).select("word").toArrow()
     voc = vocabulary(path)
-    return compile_lexicon({r["word"].encode(): voc.merge(r["word"].encode()) for r in top})
+    return compile_lexicon({w: voc.merge(w) for w in (x.encode() for x in top.column(0).to_pylist())})
 
 
 def publish_lexicon(spark: SparkSession, blob: bytes):
@@ -299,6 +348,15 @@ def open_lexicon(shared: str | None, sent) -> Lexicon:
     return Lexicon(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
 
+def encoder(path: str, shared: str | None, sent) -> Encoder:
+    """One a process and lexicon, so a worker's later tasks know the words of its earlier ones."""
+    key = (path, shared, sent.id if hasattr(sent, "id") else id(sent))
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(vocabulary(path), open_lexicon(shared, sent))
+    return _encoders[key]
+
+
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = LEXICON_WORDS, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids."""
     spark = docs.sparkSession
@@ -308,17 +366,14 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     schema = pa.schema(types if with_ids else types[:4])
 
     def encode(batches):
-        enc = Encoder(vocabulary(path), open_lexicon(shared, sent))
-        names = {i: str(i) for i in enc.vocabulary.bytes}
-        sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
+        enc = encoder(path, shared, sent)
         for b in batches:
             cols: list[list] = [[], [], [], []]
-            for text in b.column(1).to_pylist():
-                ids = enc.encode(text or "")
-                cols[0].append(len(ids))
-                cols[1].append(sha(",".join(map(names.__getitem__, ids))))
-                cols[2].append(sha(enc.decode(ids)))
-                cols[3].append(ids if with_ids else None)
+            for ids, raw in enc.encode([t or "" for t in b.column(1).to_pylist()]):
+                cols[0].append(ids.count(",") + 1 if ids else 0)
+                cols[1].append(hashlib.sha256(ids.encode()).hexdigest())
+                cols[2].append(hashlib.sha256(raw.decode("utf-8", errors="replace").encode("utf-8")).hexdigest())
+                cols[3].append(list(map(int, ids.split(","))) if with_ids and ids else [])
             arrays = [b.column(0).cast(pa.int64()), *(pa.array(c, t) for c, (_, t) in zip(cols, types[1:], strict=True))]
             yield pa.RecordBatch.from_arrays(arrays[: len(schema)], schema=schema)
 
