@@ -42,9 +42,9 @@ def reply_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     step = materialize(step, "jump0")
     # Rows whose jump has left the tree are finished and only looked up; the others double it.
     done, going, jumps = step.where("up is null"), step.where("up is not null"), []
+    links = going.count()
     for k in range(MAX_ROUNDS):
-        open_rows = going.count()
-        if not open_rows or 2**k > 4 * open_rows:  # beyond that only cycles are left
+        if 2**k > links or going.isEmpty():  # no path is longer than there are links: what is left are cycles
             break
         jumps.append(going)
         every = done.unionByName(going)
@@ -55,7 +55,7 @@ def reply_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
         )
         step = materialize(doubled, f"jump{k + 1}")
         done, going = done.unionByName(step.where("up is null")), step.where("up is not null")
-    done = done.where("rooted").select("tree", "node", "total", "depth")
+    done = materialize(done.where("rooted").select("tree", "node", "total", "depth"), "rooted")
     leaves = done.join(linked.select("tree", F.col("up").alias("node")).distinct(), ["tree", "node"], "left_anti")
     by_score = Window.partitionBy("tree").orderBy(F.col("total").desc_nulls_last(), F.col("node").asc())
     chosen = leaves.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top)
