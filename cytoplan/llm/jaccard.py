@@ -11,8 +11,8 @@ with fewer words the whole sequence is its one shingle. Two documents link when
 3. Similar classes are partitioned into groups: of all classes under a token each is compared
    with the least one only, which is linear, and verified links make the first groups.
 4. The matrix holds for each token the groups whose union of prefix tokens has it. A class that
-   meets another group there, within the group's bounds on set sizes, opens that group; its
-   members are compared by size and by a parity sketch, whose distance bounds the symmetric
+   meets another group there opens it if the group's bounds on set sizes and on the overlap that
+   is left after this token allow a link; its members are compared by size and by a parity sketch, whose distance bounds the symmetric
    difference from below, and what passes is verified on whole texts. No link between classes
    of different groups can escape, and links inside a group change nothing.
 
@@ -59,12 +59,14 @@ def class_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63)
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """Parity of the tokens on each of 64 * SKETCH places: two sets' sketches differ on no more
-    places than their symmetric difference has tokens."""
+def sketches(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the tokens on each of 64 * SKETCH places, the parity and whether there are any.
+
+    Two sets' parities differ on no more places than their symmetric difference has tokens; a set has
+    no fewer tokens outside a union than it has places outside the union's places."""
     bit = (s >> np.uint64(20)) % np.uint64(64 * SKETCH)
-    odd = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    n = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH)
+    return np.packbits((n & 1).astype(np.uint8)).view(np.int64), np.packbits((n > 0).astype(np.uint8)).view(np.int64)
 
 
 def prefix_length(n: int) -> int:
@@ -77,7 +79,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def rare_first(s: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The prefix of a set: tokens off the list by hash, then those on it by rank."""
+    """The prefix of a set in order: tokens off the list by hash, then those on it by rank."""
     k = prefix_length(len(s))
     key = s >> np.uint64(1)
     if len(frequent):
@@ -85,7 +87,8 @@ def rare_first(s: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndar
         at = np.minimum(np.searchsorted(frequent, short), len(frequent) - 1)
         on = frequent[at] == short
         key = np.where(on, (_ONE << np.uint64(63)) + rank[at].astype(np.uint64), key)
-    return s[np.argpartition(key, k - 1)[:k]] if k < len(s) else s
+    first = np.argpartition(key, k - 1)[:k] if k < len(s) else np.arange(len(s))
+    return s[first[np.argsort(key[first])]]
 
 
 def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -155,7 +158,7 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """row, doc_id, h (a hash of the text), n, cid, sketch, prefix: one row a document."""
+    """row, doc_id, h (a hash of the text), n, cid, sketch (parity), places, prefix: one row a document."""
     frequent, rank = frequent_tokens(docs)
     sent = docs.sparkSession.sparkContext.broadcast((frequent, rank))
 
@@ -163,18 +166,20 @@ def describe(docs: DataFrame) -> DataFrame:
         hashes = WordHashes()
         frequent, rank = sent.value
         for b in batches:
-            n, cid, sk, pre = [], [], [], []
+            n, cid, sk, pl, pre = [], [], [], [], []
             for text in b.column(3).to_pylist():
                 s = shingle_set(text, hashes)
                 n.append(len(s))
                 cid.append(class_id(s) if len(s) else None)
-                sk.append(sketch(s))
+                odd, some = sketches(s)
+                sk.append(odd)
+                pl.append(some)
                 pre.append(rare_first(s, frequent, rank).view(np.int64))
             lists = lambda parts: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), lists(sk), lists(pre)], names=["row", "doc_id", "h", "n", "cid", "sketch", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), lists(sk), lists(pl), lists(pre)], names=["row", "doc_id", "h", "n", "cid", "sketch", "places", "prefix"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("h"), "text")
-    return materialize(rows.mapInArrow(run, "row long, doc_id long, h long, n long, cid long, sketch array<long>, prefix array<long>"), "described")
+    return materialize(rows.mapInArrow(run, "row long, doc_id long, h long, n long, cid long, sketch array<long>, places array<long>, prefix array<long>"), "described")
 
 
 def connect(edges: DataFrame) -> DataFrame:
@@ -238,9 +243,10 @@ def link_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
     """node, comp over class ids that link with another class."""
     spark = docs.sparkSession
     first = described.where("n > 0").groupBy("cid").agg(F.min("row").alias("row"))
-    reps = materialize(described.join(small_side(materialize(first.select("row"), "reps")), "row", "left_semi").select("cid", "doc_id", "n", "sketch", "prefix"), "classes")
+    reps = materialize(described.join(small_side(materialize(first.select("row"), "reps")), "row", "left_semi").select("cid", "doc_id", "n", "sketch", "places", "prefix"), "classes")
     facts = reps.select("cid", "n", "sketch")
-    tokens = reps.select("cid", F.explode("prefix").alias("token")).repartition(n_shuffle(spark), "token")  # one shuffle for the count and the join
+    place = reps.select("cid", "n", F.posexplode("prefix").alias("pos", "token")).select("cid", "token", F.shiftleft("n", 32).bitwiseOR(F.col("pos").cast("long")).alias("at"))
+    tokens = place.repartition(n_shuffle(spark), "token")  # one shuffle for the count and the join
     least = tokens.groupBy("token").agg(F.min("cid").alias("least"), F.count("*").alias("k")).where("k > 1").select("token", "least")
     lists = materialize(tokens.join(least, "token"), "lists")
 
@@ -251,15 +257,22 @@ def link_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
     stars = materialize(bounded(lists.where("cid <> least").select(F.col("least").alias("a"), F.col("cid").alias("b")).distinct()), "stars")
     near = verify(stars, reps, docs)
     groups = connect(near)
-    # the matrix: tokens with several groups, a group being its classes' union of prefix tokens
-    rows = lists.select("token", "cid").join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")).join(facts.select("cid", "n"), "cid")
-    matrix = rows.groupBy("token", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    several = matrix.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("token")
+    # the matrix: tokens with several groups, each with the sketch of its union, its sizes and what is left after the token
+    rows = lists.select("token", "cid", F.shiftright("at", 32).alias("n"), (F.shiftright("at", 32) - F.col("at").bitwiseAND(F.lit((1 << 32) - 1))).alias("rest"))
+    rows = rows.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    several = rows.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("token")
     several = materialize(several, "several")
     query = materialize(rows.join(several, "token", "left_semi"), "query")
-    matrix = query.groupBy("token", F.col("comp").alias("group")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    places = reps.select("cid", "places")
+    union = query.select("cid", "comp").distinct().join(places, "cid").groupBy(F.col("comp").alias("group")).agg(F.array(*(F.bit_or(F.col("places")[k]) for k in range(SKETCH))).alias("union"))
+    matrix = query.groupBy("token", F.col("comp").alias("group")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("most")).join(union, "group")
     fits = (100 * F.col("n") >= SIMILARITY * F.col("lo")) & (100 * F.col("hi") >= SIMILARITY * F.col("n"))
-    opened = query.join(matrix, "token").where((F.col("comp") < F.col("group")) & fits).select("cid", "group").distinct()
+    # at the first token that two sets share, what is left of each bounds their overlap, as do the places of the union
+    outside = F.bit_count(F.col("places")[0].bitwiseAND(F.bitwise_not(F.col("union")[0])))
+    for k in range(1, SKETCH):
+        outside = outside + F.bit_count(F.col("places")[k].bitwiseAND(F.bitwise_not(F.col("union")[k])))
+    fits &= (100 + SIMILARITY) * F.least("rest", "most", F.col("n") - outside) >= SIMILARITY * (F.col("n") + F.col("lo"))
+    opened = query.join(places, "cid").join(matrix, "token").where((F.col("comp") < F.col("group")) & fits).select("cid", "group").distinct()
     members = query.select(F.col("cid").alias("b"), F.col("comp").alias("group")).distinct().join(facts.alias("y"), F.col("b") == F.col("y.cid"))
     asked = opened.join(facts.alias("x"), "cid").join(members, "group").where(may_link("x", "y")).select(F.least(F.col("x.cid"), "b").alias("a"), F.greatest(F.col("x.cid"), "b").alias("b")).distinct()
     rest = materialize(asked.join(stars, ["a", "b"], "left_anti"), "rest")
