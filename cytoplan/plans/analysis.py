@@ -330,11 +330,11 @@ def whitelist_contamination(s, d):
 
 
 @query("", """
-with r as (select o_orderkey id, o_orderkey % 40 l, round(o_totalprice)::bigint v from orders where o_orderkey <= 4000), e as (select a.id a, b.id b from r a join r b on a.l = b.l and a.id < b.id and abs(a.v - b.v) <= 400),
-f as (select a, b from e union select b, a from e), reach as (select distinct a, a b from f union select reach.a, f.b from reach join f on reach.b = f.a) select a node, min(b) comp from reach group by 1""")
+with r as (select o_orderkey id, o_custkey l, o_orderpriority p, round(o_totalprice)::bigint v from orders), e as (select a.id a, b.id b from r a join r b on a.l = b.l and a.p = b.p and a.id < b.id and abs(a.v - b.v) <= 60000),
+f as (select a, b from e union select b, a from e), reach as (select a, a b from f union select reach.a, f.b from reach join f on reach.b = f.a) select a node, min(b) comp from reach group by 1""")
 def clonotype_components(s, d):
-    r = R.table(s, d, "orders").where("o_orderkey <= 4000").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 40).alias("l"), F.round("o_totalprice").cast("long").alias("v"))
-    return V.clonotype_components(r, ["l"], F.abs(F.col("x.v") - F.col("y.v")) <= 400)
+    r = R.table(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("l"), F.col("o_orderpriority").alias("p"), F.round("o_totalprice").cast("long").alias("v"))
+    return V.clonotype_components(r, ["l", "p"], F.abs(F.col("x.v") - F.col("y.v")) <= 60000)
 
 
 @query("ctg", """select barcode, count(*) n_contigs, sum(umis)::bigint umis, count(distinct chain) n_chains, count(*) filter (productive) n_productive, count(distinct chain) filter (productive) >= 2 paired from ctg group by 1""")
@@ -360,11 +360,12 @@ def weak_chains(s, d):
     return V.weak_chains(x, 20, 5)
 
 
-@query("ctg", """with k as (select barcode % 9 kk, count(distinct clonotype) n, min(clonotype) c from (select barcode, cdr3 clonotype from ctg where chain = 'assistant' and barcode % 9 < 5 and cdr3 = barcode % 9) group by 1)
+@query("ctg", """with k as (select kk, count(distinct c) n, min(c) c from (select umis % 9 kk, case when umis % 9 < 6 then umis % 9 // 2 else cdr3 end c from ctg where chain = 'assistant') group by 1)
 select c.barcode, case when n = 1 then k.c end clonotype_id from (select distinct barcode from ctg) c left join k on k.kk = c.barcode % 9""")
 def merge_single_chains(s, d):
     c = R.contigs(s, d)
-    full = c.where("chain = 'assistant' and barcode % 9 < 5 and cdr3 = barcode % 9").select((F.col("barcode") % 9).alias("kk"), F.col("cdr3").alias("clonotype_id"))
+    kk = F.col("umis") % 9
+    full = c.where("chain = 'assistant'").select(kk.alias("kk"), F.when(kk < 6, F.floor(kk / 2)).otherwise(F.col("cdr3")).alias("clonotype_id"))
     return V.merge_single_chains(c.select("barcode").distinct().withColumn("kk", F.col("barcode") % 9), full, "kk").select("barcode", "clonotype_id")
 
 

@@ -103,10 +103,10 @@ def umi_dedup(s, d):
 
 
 @query("mol", """
-with i as (select distinct feature % 20 set_id, barcode item from mol where reads > 45), n as (select set_id, count(*) n from i group by 1)
+with i as (select distinct feature % 20 set_id, barcode item from mol), n as (select set_id, count(*) n from i group by 1)
 select a.set_id a, b.set_id b, count(*) shared, round(count(*) / least(any_value(x.n), any_value(y.n)), 6) overlap from i a join i b on a.item = b.item and a.set_id < b.set_id join n x on x.set_id = a.set_id join n y on y.set_id = b.set_id group by all""".replace("group by all", "group by a.set_id, b.set_id"))
 def overlap_coefficient(s, d):
-    m = R.molecules(s, d).where("reads > 45").select((F.col("feature") % 20).alias("set_id"), F.col("barcode").alias("item"))
+    m = R.molecules(s, d).select((F.col("feature") % 20).alias("set_id"), F.col("barcode").alias("item"))
     return B.overlap_coefficients(m).withColumn("overlap", F.round("overlap", 6))
 
 
@@ -134,10 +134,10 @@ def diversity(s, d):
 
 
 @query("coo", """
-with f as (select barcode, sum(umi_count) n, count(*) s, count(*) filter (umi_count = 1) f1, count(*) filter (umi_count = 2) f2 from coo where umi_count < 4 group by 1)
+with f as (select barcode, sum(umi_count) n, count(*) s, count(*) filter (umi_count = 1) f1, count(*) filter (umi_count = 2) f2 from coo group by 1)
 select barcode, s species, round(s + case when f2 > 0 then f1 * f1 / (2.0 * f2) else f1 * (f1 - 1) / 2.0 end, 6) chao1 from f""")
 def chao1(s, d):
-    f = R.coo(s, d).where("umi_count < 4").groupBy("barcode").agg(F.count("*").alias("species"), F.count_if(F.col("umi_count") == 1).alias("f1"), F.count_if(F.col("umi_count") == 2).alias("f2"))
+    f = R.coo(s, d).groupBy("barcode").agg(F.count("*").alias("species"), F.count_if(F.col("umi_count") == 1).alias("f1"), F.count_if(F.col("umi_count") == 2).alias("f2"))
     extra = F.when(F.col("f2") > 0, F.col("f1") * F.col("f1") / (2.0 * F.col("f2"))).otherwise(F.col("f1") * (F.col("f1") - 1) / 2.0)
     return f.select("barcode", "species", F.round(F.col("species") + extra, 6).alias("chao1"))
 

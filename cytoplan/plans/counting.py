@@ -168,14 +168,14 @@ def chunk_plan(s, d):
 
 @query("", """
 with p as (select row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_returnflag, l_discount, l_tax) id, l_suppkey % 25 chrom, epoch(l_shipdate)::bigint // 86400 s0, l_quantity::bigint q from lineitem),
-i as (select o_custkey % 25 chrom, epoch(o_orderdate)::bigint // 86400 lo, epoch(o_orderdate)::bigint // 86400 + 3 hi from orders where o_orderkey % 10 = 0),
+i as (select o_custkey % 25 chrom, epoch(o_orderdate)::bigint // 86400 lo, epoch(o_orderdate)::bigint // 86400 + 3 hi from orders),
 h as (select id, max((lo <= s0 and s0 + q % 4 <= hi)::int) ins, count(*) n from p join i on p.chrom = i.chrom and s0 <= hi and lo <= s0 + q % 4 group by id)
 select chrom, case when ins = 1 then 'exonic' when ins = 0 then 'intronic' else 'intergenic' end region, count(*) "reads", coalesce(sum(n), 0)::bigint n_overlaps from p left join h using (id) group by 1, 2""")
 def interval_annotate(s, d):
     day = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / 86_400_000_000).cast("long")
     li = R.table(s, d, "lineitem").withColumn("q", F.col("l_quantity").cast("long") % 4)
     points = li.select(F.monotonically_increasing_id().alias("id"), (F.col("l_suppkey") % 25).alias("chrom"), day("l_shipdate").alias("start"), (day("l_shipdate") + F.col("q")).alias("end"))
-    windows = R.table(s, d, "orders").where("o_orderkey % 10 = 0").select((F.col("o_custkey") % 25).alias("chrom"), day("o_orderdate").alias("lo"), (day("o_orderdate") + 3).alias("hi"))
+    windows = R.table(s, d, "orders").select((F.col("o_custkey") % 25).alias("chrom"), day("o_orderdate").alias("lo"), (day("o_orderdate") + 3).alias("hi"))
     return C.annotate_region(points, windows, 16).groupBy("chrom", "region").agg(F.count("*").alias("reads"), F.sum("n_overlaps").alias("n_overlaps"))
 
 

@@ -55,9 +55,9 @@ def genotype_clusters(s, d):
 
 @query()
 def perturbation_efficiency(s, d):
-    m = R.molecules(s, d)
-    c = m.where("feature <= 10").groupBy("barcode", "feature").agg(F.sum("reads").alias("n"))
-    return X.perturbation_efficiency(c.select(F.col("feature").cast("string").alias("target"), (F.col("barcode") % 2 == 0).alias("perturbed"), "barcode", "n"), 2)
+    m = R.molecules(s, d).join(F.broadcast(R.features(s, d).select("feature", "feature_type")), "feature")
+    c = m.groupBy("barcode", "feature_type").agg(F.sum("reads").alias("n"))
+    return X.perturbation_efficiency(c.select(F.col("feature_type").alias("target"), (F.col("barcode") % 2 == 0).alias("perturbed"), "barcode", "n"), 3)
 
 
 @query("", """
@@ -98,14 +98,14 @@ def reservoir_sample(s, d):
 
 @query("", f"""
 with r as (select o_orderkey id, o_custkey % 20 barcode, o_custkey % 7 chrom, o_orderkey % 997 s0, {R._dna('o_orderkey', 12)} seq from orders),
-n as (select distinct p_partkey % 7 chrom, p_partkey % 997 pos from part where p_partkey % 3 = 0), h as (select barcode, r.chrom, pos, substr(seq, (pos - s0 + 1)::int, 1) b from r join n on r.chrom = n.chrom and pos between s0 and s0 + 11)
+n as (select distinct p_partkey % 7 chrom, p_partkey % 997 pos from part), h as (select barcode, r.chrom, pos, substr(seq, (pos - s0 + 1)::int, 1) b from r join n on r.chrom = n.chrom and pos between s0 and s0 + 11)
 select barcode, chrom, pos, count(*) filter (b = 'A') ref_reads, count(*) filter (b = 'G') alt_reads from h group by 1, 2, 3""")
 def allele_counts(s, d):
     from ..functions.seq import dna
 
     k = F.col("o_orderkey")
     reads = R.table(s, d, "orders").select(k.alias("id"), (F.col("o_custkey") % 20).alias("barcode"), (F.col("o_custkey") % 7).alias("chrom"), (k % 997).alias("start"), (k % 997 + 11).alias("end"), dna(k, 12).alias("seq"))
-    snps = R.table(s, d, "part").where("p_partkey % 3 = 0").select((F.col("p_partkey") % 7).alias("chrom"), (F.col("p_partkey") % 997).alias("pos"), F.lit("A").alias("ref"), F.lit("G").alias("alt")).distinct()
+    snps = R.table(s, d, "part").select((F.col("p_partkey") % 7).alias("chrom"), (F.col("p_partkey") % 997).alias("pos"), F.lit("A").alias("ref"), F.lit("G").alias("alt")).distinct()
     return X.allele_counts(reads, snps)
 
 
