@@ -4,7 +4,7 @@ Two zstandard dictionaries are trained, one on ordinary and one on toxic text; a
 word with the spaces around it. Both compress every window of a text, and the bytes that the
 toxic dictionary saves against the ordinary one are its distance. The counts of windows past
 thresholds, and their shares, go through a logistic model calibrated on rows that the
-dictionaries did not see. Training text for the toxic dictionary is what marks toxic rows off:
+dictionaries did not see; a score is the mean of the judges of all folds. Training text for the toxic dictionary is what marks toxic rows off:
 byte strings inside words, ranked by a likelihood ratio. The toxic dictionary extends the
 ordinary content, so windows of ordinary words cost the same in both.
 
@@ -12,8 +12,8 @@ Labels are learned from at most ``FIT_ROWS`` labelled rows a class, taken by a h
 class shares come from all labelled rows. Scores use the text alone.
 
 Defined cases: null and empty texts have no windows and get the model's score for that; a null
-id counts as the empty string for the hold-out rule; without both classes among the labels
-every score is the share of toxic labels (0 without labels); repeated rows repeat; several
+id counts as the empty string for the hold-out rule; without both classes in each fold of the
+labels every score is the share of toxic labels (0 without labels); repeated rows repeat; several
 labels of one id: toxic if any is. Batches of whole texts bound a task's memory.
 """
 
@@ -39,15 +39,25 @@ DICT_BYTES = 6144
 #: Toxic strings that the toxic dictionary is trained on.
 MARKS = 400
 THRESHOLD = 0.3
-STEPS = (2, 3, 4, 5, 6)
-CACHE_WINDOWS = 300_000
+#: Parts of the labelled rows; each is judged by dictionaries of the others.
+FOLDS = 3
+STEPS = (3, 4, 5, 6, 8)
+CACHE_WINDOWS = 600_000
 TRIM = b".,!?;:\"'()|*#%"
 #: The compressor looks for no match in a block's last bytes, so a window ends in a run that costs the same in both.
 PAD = b"\x00" * 24
 
 
+def tokens(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8", "replace").split()
+
+
+def window(token: bytes) -> bytes:
+    return b" " + token.strip(TRIM) + b" "
+
+
 def windows(text: str) -> list[bytes]:
-    return [b" " + w.strip(TRIM) + b" " for w in text.lower().encode("utf-8", "replace").split()]
+    return list(map(window, tokens(text)))
 
 
 def _trained(samples: list[bytes], size: int, k: int = 64, d: int = 8) -> bytes:
@@ -65,78 +75,106 @@ def marks(texts: list[str], toxic: list[int]) -> list[bytes]:
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for text, t in zip(texts, toxic, strict=True):
         seen[t].update({w[i : i + k] for w in set(windows(text)) for k in range(5, 10) for i in range(len(w) - k + 1)})
-    ranked = []
+    # both bars rise with the rows, as more strings are tried
+    ranked, least, bar = [], max(5, round(0.008 * n[1])), 10 + 0.02 * n[1]
     for s, a in seen[1].items():
         b = seen[0][s]
-        if a >= 4 and a / n[1] > 8 * (b + 0.5) / n[0]:
+        if a >= least and a / n[1] > 8 * (b + 0.5) / n[0]:
             ea = (a + b) * n[1] / sum(n)
             ranked.append((-2 * (a * math.log(a / ea) + (b * math.log(b / (a + b - ea)) if b else 0.0)), -len(s), s))
     chosen: list[bytes] = []
     for gain, _, s in sorted(ranked):
-        if gain < -12.0 and not any(s in c or c in s for c in chosen):
+        if gain < -bar and not any(s in c or c in s for c in chosen):
             chosen.append(s)
             if len(chosen) == MARKS:
                 break
     return chosen
 
 
-@dataclass
-class Distance:
-    """Both dictionaries, and the distances of windows met so far."""
+def compressor(content: bytes) -> zstandard.ZstdCompressor:
+    params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=4, min_match=5, target_length=16, strategy=zstandard.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
+    # raw content needs 8 bytes
+    return zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(content.ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
-    ordinary: bytes
-    toxic: bytes
 
-    def __post_init__(self):
-        self.known: dict[bytes, int] = {}
-        self.compressors = [self._compressor(d) for d in (self.ordinary, self.toxic)]
+def features(steps: np.ndarray) -> np.ndarray:
+    """Of a text whose windows pass so many of STEPS each."""
+    n = max(1, len(steps))
+    c = np.cumsum(np.bincount(steps, minlength=len(STEPS) + 1)[::-1])[::-1][1:]
+    return np.concatenate([np.log1p(c), [math.sqrt(c[1] / n), math.sqrt(c[2] / n), math.log(n), float(c[2] > 0)]])
+
 
-    def __reduce__(self):
-        return Distance, (self.ordinary, self.toxic)
+class Distances:
+    """Steps that the distances of windows pass, for one ordinary dictionary and each toxic one.
 
-    @staticmethod
-    def _compressor(content: bytes) -> zstandard.ZstdCompressor:
-        params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=4, min_match=5, target_length=16, strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_checksum=0, write_dict_id=0)
-        # raw content needs 8 bytes
-        return zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(content.ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+    Remembers a bounded number of tokens and windows."""
 
-    def of(self, found: list[bytes]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(found) if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > CACHE_WINDOWS:
-                self.known.clear()
-                new = list(dict.fromkeys(found))
-            sizes = [np.fromiter((len(c.compress(w + PAD)) for w in new), np.int64, len(new)) for c in self.compressors]
-            self.known.update(zip(new, (sizes[0] - sizes[1]).tolist(), strict=True))
-        return np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+    def __init__(self, ordinary: bytes, toxic: list[bytes]):
+        self.compressors = [compressor(c) for c in (ordinary, *toxic)]
+        self._clear()
 
-    def features(self, text: str) -> list[float]:
-        d = self.of(windows(text))
-        n = max(1, len(d))
-        c = [int((d >= k).sum()) for k in STEPS]
-        return [*(math.log1p(x) for x in c), math.sqrt(c[1] / n), math.sqrt(c[2] / n), math.log(n), float(c[2] > 0)]
+    def _clear(self) -> None:
+        self.tokens: dict[bytes, int] = {}
+        self.windows: dict[bytes, int] = {}
+        self.steps = np.zeros((1024, len(self.compressors) - 1), np.int64)
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text, windows by toxic dictionaries."""
+        cut = [tokens(t) for t in texts]
+        here = set().union(*cut)
+        if len(self.tokens) + len(here) > CACHE_WINDOWS:
+            self._clear()
+        new = list(here - self.tokens.keys())
+        made = list(map(window, new))
+        fresh = list(set(made) - self.windows.keys())
+        if fresh:
+            sizes = np.array([[len(c.compress(w + PAD)) for w in fresh] for c in self.compressors], np.int64)
+            at = len(self.windows)
+            while at + len(fresh) > len(self.steps):
+                self.steps = np.concatenate([self.steps, np.zeros_like(self.steps)])
+            self.steps[at : at + len(fresh)] = np.searchsorted(STEPS, (sizes[0] - sizes[1:]).T, side="right")
+            self.windows.update(zip(fresh, range(at, at + len(fresh)), strict=True))
+        self.tokens.update(zip(new, map(self.windows.__getitem__, made), strict=True))
+        get = self.tokens.__getitem__
+        return [self.steps[np.fromiter(map(get, t), np.int64, len(t))] for t in cut]
 
 
 @dataclass
-class Model:
-    distance: Distance | None
+class Judge:
+    """A toxic dictionary with the logistic model of its distances."""
+
+    toxic: bytes
+    low: np.ndarray  # features beyond what was calibrated count as its ends
+    high: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
+
+    def logit(self, x: np.ndarray) -> float:
+        z = (np.clip(x, self.low, self.high) - self.mean) / self.scale
+        return float(z @ self.weights[:-1] + self.weights[-1])
+
+
+@dataclass
+class Model:
+    ordinary: bytes
+    judges: list[Judge]
     share: float
 
-    def score(self, text: str) -> float:
-        if self.distance is None:
-            return self.share
-        z = (np.array(self.distance.features(text)) - self.mean) / self.scale
-        v = float(np.concatenate([z, z * z, [1.0]]) @ self.weights)
-        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, v))))
+    def scores(self, texts: list[str], distances: Distances | None = None) -> list[float]:
+        if not self.judges:
+            return [self.share] * len(texts)
+        distances = distances or Distances(self.ordinary, [j.toxic for j in self.judges])
+        out = []
+        for steps in distances.of(texts):
+            v = sum(j.logit(features(steps[:, k])) for k, j in enumerate(self.judges)) / len(self.judges)
+            out.append(1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, v)))))
+        return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     mean, scale = x.mean(0), x.std(0) + 1e-6
-    z = (x - mean) / scale
-    z = np.concatenate([z, z * z, np.ones((len(z), 1))], axis=1)
+    z = np.concatenate([(x - mean) / scale, np.ones((len(x), 1))], axis=1)
     w, ridge = np.zeros(z.shape[1]), 0.05 * np.eye(z.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
@@ -144,12 +182,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndar
     return mean, scale, w
 
 
-def _distance(texts: list[str], toxic: list[int]) -> Distance:
-    ordinary = [w for x, t in zip(texts, toxic, strict=True) if not t for w in windows(x)]
-    base = _trained(ordinary[:: max(1, len(ordinary) // 200_000)], DICT_BYTES)
+def _ordinary(texts: list[str], toxic: list[int]) -> bytes:
+    found = [w for x, t in zip(texts, toxic, strict=True) if not t for w in windows(x)]
+    return _trained(found[:: max(1, len(found) // 200_000)], DICT_BYTES)
+
+
+def _toxic(texts: list[str], toxic: list[int], base: bytes) -> bytes:
+    """The ordinary content with what is trained on the windows that mark toxic rows off."""
     found = marks(texts, toxic)
     if not found:
-        return Distance(base, base)
+        return base
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for x, t in zip(texts, toxic, strict=True):
         seen[t].update(set(windows(x)))
@@ -158,29 +200,25 @@ def _distance(texts: list[str], toxic: list[int]) -> Distance:
     holding = [w for x, t in zip(texts, toxic, strict=True) if t for w in windows(x) if w in marked]
     content = _trained([b"".join(holding[i : i + 8]) for i in range(0, len(holding), 8)], DICT_BYTES, 32, 6)
     # what the trainer left out follows, the strongest marks last, where offsets are shortest
-    return Distance(base, base + content + b"".join(m for m in reversed(found) if m not in content))
+    return base + content + b"".join(m for m in reversed(found) if m not in content)
 
 
 def fit(texts: list[str], toxic: list[int], counts: tuple[int, int]) -> Model:
     """counts: ordinary and toxic labels of all rows that may be learned from."""
     share = counts[1] / max(1, sum(counts))
-    if len(set(toxic)) < 2:
-        return Model(None, np.zeros(0), np.zeros(0), np.zeros(0), share)
-    folds = np.array([zlib.crc32(x.encode("utf-8", "replace")) % 2 for x in texts])
-    rows, order = [], []
-    for k in (0, 1):  # features of each half by dictionaries of the other
-        inside = [i for i in range(len(texts)) if folds[i] != k]
-        if len({toxic[i] for i in inside}) < 2:
-            inside = list(range(len(texts)))
-        d = _distance([texts[i] for i in inside], [toxic[i] for i in inside])
-        for i in np.flatnonzero(folds == k):
-            rows.append(d.features(texts[i]))
-            order.append(i)
-    y = np.array([toxic[i] for i in order], float)
-    n = [max(1, int((y == 0).sum())), max(1, int((y == 1).sum()))]
-    weight = np.where(y == 1, counts[1] / n[1], counts[0] / n[0])
-    mean, scale, w = _logistic(np.array(rows), y, weight * len(y) / weight.sum())
-    return Model(_distance(texts, toxic), mean, scale, w, share)
+    folds = np.array([zlib.crc32(x.encode("utf-8", "replace")) % FOLDS for x in texts])
+    y = np.array(toxic, int)
+    judges, base = [], _ordinary(texts, toxic)
+    for k in range(FOLDS):  # a judge is calibrated on the fold that its dictionaries have not seen
+        seen, new = np.flatnonzero(folds != k), np.flatnonzero(folds == k)
+        if len(set(y[seen])) < 2 or len(set(y[new])) < 2:
+            continue
+        trained = _toxic([texts[i] for i in seen], [toxic[i] for i in seen], base)
+        x = np.array([features(steps[:, 0]) for steps in Distances(base, [trained]).of([texts[i] for i in new])])
+        n = np.bincount(y[new], minlength=2)
+        weight = np.where(y[new] == 1, counts[1] / n[1], counts[0] / n[0])
+        judges.append(Judge(trained, x.min(0), x.max(0), *_logistic(x, y[new].astype(float), weight * len(new) / weight.sum())))
+    return Model(base, judges, share)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -205,12 +243,13 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with a column score: every window of every text."""
     arrow_rows(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast((model.distance, model.mean, model.scale, model.weights, model.share))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
-        model = Model(*sent.value)
+        model = sent.value
+        distances = Distances(model.ordinary, [j.toxic for j in model.judges])
         for b in batches:
-            scores = pa.array([model.score(t or "") for t in b.column(text_col).to_pylist()], pa.float64())
+            scores = pa.array(model.scores([t or "" for t in b.column(text_col).to_pylist()], distances), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], names=[*b.schema.names, "__score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
