@@ -43,7 +43,7 @@ FREQUENT, FREQUENT_COUNT = 400_000, 12
 #: Longs of a parity sketch.
 SKETCH = 16
 #: Members that one verifying task streams past a leader.
-SALT_MEMBERS = 256
+SALT_MEMBERS = 64
 #: Tokens that a counting task gathers before it hands them on.
 COUNT_TOKENS = 1_000_000
 _ONE = np.uint64(1)
@@ -247,7 +247,8 @@ def link_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
     facts = reps.select("cid", "n", "sketch")
     place = reps.select("cid", "n", F.posexplode("prefix").alias("pos", "token")).select("cid", "token", F.shiftleft("n", 32).bitwiseOR(F.col("pos").cast("long")).alias("at"))
     tokens = place.repartition(n_shuffle(spark), "token")  # one shuffle for the count and the join
-    least = tokens.groupBy("token").agg(F.min("cid").alias("least"), F.count("*").alias("k")).where("k > 1").select("token", "least")
+    # top is always positive: it makes both readers take the same columns, so that the shuffle is reused
+    least = tokens.groupBy("token").agg(F.min("cid").alias("least"), F.count("*").alias("k"), F.max("at").alias("top")).where("k > 1 and top >= 0").select("token", "least")
     lists = materialize(tokens.join(least, "token"), "lists")
 
     def bounded(pairs: DataFrame) -> DataFrame:
