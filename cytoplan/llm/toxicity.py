@@ -23,6 +23,7 @@ import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -70,18 +71,30 @@ def _trained(samples: list[bytes], size: int, k: int = 64, d: int = 8) -> bytes:
 
 
 def marks(texts: list[str], toxic: list[int]) -> list[bytes]:
-    """Byte strings inside words by how far toxic rows hold them more often than others, strongest first."""
+    """Byte strings inside words by how far toxic rows hold them more often than others, strongest first.
+
+    One length at a time, and of ordinary rows only what toxic rows hold often, so that the tables stay small."""
     n = [max(1, len(toxic) - sum(toxic)), max(1, sum(toxic))]
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    one: dict[bytes, bytes] = {}
+    held: tuple[list, list] = ([], [])
     for text, t in zip(texts, toxic, strict=True):
-        seen[t].update({w[i : i + k] for w in set(windows(text)) for k in range(5, 10) for i in range(len(w) - k + 1)})
+        held[t].append([one.setdefault(w, w) for w in set(windows(text))])
     # both bars rise with the rows, as more strings are tried
     ranked, least, bar = [], max(5, round(0.008 * n[1])), 10 + 0.02 * n[1]
-    for s, a in seen[1].items():
-        b = seen[0][s]
-        if a >= least and a / n[1] > 8 * (b + 0.5) / n[0]:
-            ea = (a + b) * n[1] / sum(n)
-            ranked.append((-2 * (a * math.log(a / ea) + (b * math.log(b / (a + b - ea)) if b else 0.0)), -len(s), s))
+    for k in range(5, 10):
+        seen: Counter = Counter()
+        for words in held[1]:
+            seen.update({w[i : i + k] for w in words for i in range(len(w) - k + 1)})
+        often = {s: a for s, a in seen.items() if a >= least}
+        del seen
+        other: Counter = Counter()
+        for words in held[0]:
+            other.update({s for w in words for i in range(len(w) - k + 1) if (s := w[i : i + k]) in often})
+        for s, a in often.items():
+            b = other[s]
+            if a / n[1] > 8 * (b + 0.5) / n[0]:
+                ea = (a + b) * n[1] / sum(n)
+                ranked.append((-2 * (a * math.log(a / ea) + (b * math.log(b / (a + b - ea)) if b else 0.0)), -len(s), s))
     chosen: list[bytes] = []
     for gain, _, s in sorted(ranked):
         if gain < -bar and not any(s in c or c in s for c in chosen):
@@ -183,8 +196,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndar
 
 
 def _ordinary(texts: list[str], toxic: list[int]) -> bytes:
-    found = [w for x, t in zip(texts, toxic, strict=True) if not t for w in windows(x)]
-    return _trained(found[:: max(1, len(found) // 200_000)], DICT_BYTES)
+    mine = [x for x, t in zip(texts, toxic, strict=True) if not t]
+    step = max(1, sum(len(tokens(x)) for x in mine) // 200_000)
+    return _trained(list(islice(chain.from_iterable(map(windows, mine)), 0, None, step)), DICT_BYTES)
 
 
 def _toxic(texts: list[str], toxic: list[int], base: bytes) -> bytes:
@@ -192,11 +206,12 @@ def _toxic(texts: list[str], toxic: list[int], base: bytes) -> bytes:
     found = marks(texts, toxic)
     if not found:
         return base
+    inside = {w for w in set().union(*(windows(x) for x, t in zip(texts, toxic, strict=True) if t)) if any(m in w for m in found)}
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for x, t in zip(texts, toxic, strict=True):
-        seen[t].update(set(windows(x)))
+        seen[t].update(inside & set(windows(x)))
     rate = max(1, len(toxic) - sum(toxic)) / max(1, sum(toxic))
-    marked = {w for w, n in seen[1].items() if n * rate > 4 * seen[0][w] and any(m in w for m in found)}
+    marked = {w for w in inside if seen[1][w] * rate > 4 * seen[0][w]}
     holding = [w for x, t in zip(texts, toxic, strict=True) if t for w in windows(x) if w in marked]
     content = _trained([b"".join(holding[i : i + 8]) for i in range(0, len(holding), 8)], DICT_BYTES, 32, 6)
     # what the trainer left out follows, the strongest marks last, where offsets are shortest
