@@ -20,6 +20,7 @@ import mmap
 import re as stdre
 import tempfile
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ LEXICON_BYTES = 48
 #: Distinct words counted before a task hands its counts on.
 COUNT_WORDS = 400_000
 #: Resolved words that a task remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 600_000
 #: Splits a text as the byte-level vocabulary does (fixed values: white space as its matcher has it).
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
@@ -83,6 +84,8 @@ class Vocabulary:
             left, right = raw(a), raw(b)
             self.merges.setdefault(self.ids[left] << BITS | self.ids[right], rank << BITS | self.ids[left + right])
         self.byte_ids = [self.ids[bytes([i])] for i in range(256)]
+        #: where the ids of single bytes are bytes themselves, a word becomes them in one call
+        self.one_byte = bytes(self.byte_ids) if max(self.byte_ids) < 256 else None
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
         self.cut = stdre.compile("(" + "|".join(map(stdre.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -92,9 +95,9 @@ class Vocabulary:
         """Exact merging: always the pair of the lowest rank, leftmost first."""
         if len(word) > 64:
             return self._merge_long(word)
-        merged, byte_ids = self.merges.get, self.byte_ids
-        parts = [byte_ids[c] for c in word]
-        pairs = [merged(a << BITS | b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+        merged = self.merges.get
+        parts = list(word.translate(self.one_byte)) if self.one_byte else [self.byte_ids[c] for c in word]
+        pairs = [merged(a << BITS | b, NONE) for a, b in pairwise(parts)]
         while pairs and (low := min(pairs)) != NONE:
             i = pairs.index(low)
             parts[i] = token = low & MASK
@@ -261,13 +264,16 @@ class Encoder:
         self.names = {i: str(i) for i in vocabulary.bytes}
         self.ids: dict[str, str] = {}
         self.bytes: dict[str, bytes] = {}
+        self.rare: list[str] = []  # merged words, forgotten first: they seldom come again
 
     def _resolve(self, words: list[str]) -> None:
         raw = [w.encode() for w in words]
         found = self.lexicon.get([r if len(r) <= LEXICON_BYTES else b"" for r in raw]) if self.lexicon else [None] * len(raw)
         merge, name, spelt = self.vocabulary.merge, self.names.__getitem__, self.vocabulary.bytes.__getitem__
         for w, r, ids in zip(words, raw, found, strict=True):
-            ids = merge(r) if ids is None else ids
+            if ids is None:
+                ids = merge(r)
+                self.rare.append(w)
             self.ids[w] = ",".join(map(name, ids))
             self.bytes[w] = b"".join(map(spelt, ids))
 
@@ -276,7 +282,9 @@ class Encoder:
         cut = [list(self.vocabulary.sections(t)) for t in texts]
         here = set().union(*(words for sections in cut for _, words in sections))
         if len(self.ids) + len(here) > CACHE_WORDS:
-            self.ids, self.bytes = {}, {}
+            for w in self.rare:
+                del self.ids[w], self.bytes[w]
+            self.rare = []
         self._resolve(list(here - self.ids.keys()))
         ids, raw, out = self.ids.__getitem__, self.bytes.__getitem__, []
         for sections in cut:
