@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from collections.abc import Container
 from dataclasses import dataclass
 from itertools import chain, islice
 
@@ -37,8 +38,9 @@ from .common import arrow_rows, table
 #: Labelled rows of each class that the classifier is fitted on.
 FIT_ROWS = 3000
 DICT_BYTES = 6144
-#: Toxic strings that the toxic dictionary is trained on.
-MARKS = 400
+#: A mark's least number of toxic rows and its least likelihood ratio (chance below 1e-4 a string), whatever the number of rows.
+MARK_ROWS, MARK_GAIN = 5, 16.0
+MARK_LENGTHS = range(5, 10)
 THRESHOLD = 0.3
 #: Parts of the labelled rows; each is judged by dictionaries of the others.
 FOLDS = 3
@@ -79,13 +81,12 @@ def marks(texts: list[str], toxic: list[int]) -> list[bytes]:
     held: tuple[list, list] = ([], [])
     for text, t in zip(texts, toxic, strict=True):
         held[t].append([one.setdefault(w, w) for w in set(windows(text))])
-    # both bars rise with the rows, as more strings are tried
-    ranked, least, bar = [], max(5, round(0.008 * n[1])), 10 + 0.02 * n[1]
-    for k in range(5, 10):
+    ranked = []
+    for k in MARK_LENGTHS:
         seen: Counter = Counter()
         for words in held[1]:
             seen.update({w[i : i + k] for w in words for i in range(len(w) - k + 1)})
-        often = {s: a for s, a in seen.items() if a >= least}
+        often = {s: a for s, a in seen.items() if a >= MARK_ROWS}
         del seen
         other: Counter = Counter()
         for words in held[0]:
@@ -95,17 +96,23 @@ def marks(texts: list[str], toxic: list[int]) -> list[bytes]:
             if a / n[1] > 8 * (b + 0.5) / n[0]:
                 ea = (a + b) * n[1] / sum(n)
                 ranked.append((-2 * (a * math.log(a / ea) + (b * math.log(b / (a + b - ea)) if b else 0.0)), -len(s), s))
-    chosen: list[bytes] = []
+    chosen: dict[bytes, None] = {}
+    joined = bytearray()  # strings hold no white space
     for gain, _, s in sorted(ranked):
-        if gain < -bar and not any(s in c or c in s for c in chosen):
-            chosen.append(s)
-            if len(chosen) == MARKS:
-                break
-    return chosen
+        if gain < -MARK_GAIN and s not in joined and not holds(s, chosen):
+            chosen[s] = None
+            joined += s + b"\n"
+    return list(chosen)
+
+
+def holds(word: bytes, found: Container[bytes]) -> bool:
+    """Whether a string of found is in word."""
+    return any(word[i : i + k] in found for k in MARK_LENGTHS for i in range(len(word) - k + 1))
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
-    params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=4, min_match=5, target_length=16, strategy=zstandard.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
+    bits = max(14, len(content).bit_length())  # tables that keep every place of the content
+    params = zstandard.ZstdCompressionParameters(window_log=max(17, bits + 1), hash_log=bits, chain_log=bits, search_log=4, min_match=5, target_length=16, strategy=zstandard.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
     # raw content needs 8 bytes
     return zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(content.ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
@@ -206,7 +213,8 @@ def _toxic(texts: list[str], toxic: list[int], base: bytes) -> bytes:
     found = marks(texts, toxic)
     if not found:
         return base
-    inside = {w for w in set().union(*(windows(x) for x, t in zip(texts, toxic, strict=True) if t)) if any(m in w for m in found)}
+    strings = set(found)
+    inside = {w for w in set().union(*(windows(x) for x, t in zip(texts, toxic, strict=True) if t)) if holds(w, strings)}
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for x, t in zip(texts, toxic, strict=True):
         seen[t].update(inside & set(windows(x)))
