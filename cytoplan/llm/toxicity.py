@@ -46,13 +46,20 @@ THRESHOLD = 0.3
 FOLDS = 3
 STEPS = (3, 4, 5, 6, 8)
 CACHE_WINDOWS = 600_000
+#: Most bytes of a window of one word.
+PIECE = 64
 TRIM = b".,!?;:\"'()|*#%"
 #: The compressor looks for no match in a block's last bytes, so a window ends in a run that costs the same in both.
 PAD = b"\x00" * 24
 
 
 def tokens(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").split()
+    """Runs without white space; of long ones, pieces that overlap by half."""
+    out = text.lower().encode("utf-8", "replace").split()
+    if out and len(max(out, key=len)) > PIECE:
+        half = PIECE // 2
+        out = [w[i : i + PIECE] for w in out for i in range(0, max(1, len(w) - half), half)]
+    return out
 
 
 def window(token: bytes) -> bytes:
@@ -110,6 +117,15 @@ def holds(word: bytes, found: Container[bytes]) -> bool:
     return any(word[i : i + k] in found for k in MARK_LENGTHS for i in range(len(word) - k + 1))
 
 
+def around(word: bytes, found: Container[bytes]) -> bytes:
+    """word, or of a long one what is near the strings of found: the rest marks nothing."""
+    if len(word) <= PIECE // 2:
+        return word
+    at = [range(max(0, i - 3), i + k + 3) for k in MARK_LENGTHS for i in range(len(word) - k + 1) if word[i : i + k] in found]
+    kept = set(chain.from_iterable(at))
+    return bytes(c for i, c in enumerate(word) if i in kept)
+
+
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
     bits = max(14, len(content).bit_length())  # tables that keep every place of the content
     params = zstandard.ZstdCompressionParameters(window_log=max(17, bits + 1), hash_log=bits, chain_log=bits, search_log=4, min_match=5, target_length=16, strategy=zstandard.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
@@ -220,7 +236,7 @@ def _toxic(texts: list[str], toxic: list[int], base: bytes) -> bytes:
         seen[t].update(inside & set(windows(x)))
     rate = max(1, len(toxic) - sum(toxic)) / max(1, sum(toxic))
     marked = {w for w in inside if seen[1][w] * rate > 4 * seen[0][w]}
-    holding = [w for x, t in zip(texts, toxic, strict=True) if t for w in windows(x) if w in marked]
+    holding = [around(w, strings) for x, t in zip(texts, toxic, strict=True) if t for w in windows(x) if w in marked]
     content = _trained([b"".join(holding[i : i + 8]) for i in range(0, len(holding), 8)], DICT_BYTES, 32, 6)
     # what the trainer left out follows, the strongest marks last, where offsets are shortest
     return base + content + b"".join(m for m in reversed(found) if m not in content)

@@ -36,3 +36,15 @@ def accuracy(kind, n):
 def test_wide_lexicon():
     """Each of 200 words is in about 1% of the toxic rows."""
     assert accuracy("lexicon", toxicity.FIT_ROWS) > 0.95
+
+
+def test_texts_without_spaces():
+    assert accuracy("joined", 1000) > 0.95
+    text = "".join(random.Random(1).choices("abcdefgh日本語", k=100_000))
+    pieces = [w.strip() for w in toxicity.windows(text)]
+    assert max(map(len, pieces)) <= toxicity.PIECE
+    raw, at = text.encode(), 0
+    for p, q in zip(pieces, pieces[1:]):  # each half of a piece begins the next one
+        assert raw.startswith(p, at) and p[toxicity.PIECE // 2 :] == q[: len(p) - toxicity.PIECE // 2]
+        at += toxicity.PIECE // 2
+    assert raw.endswith(pieces[-1]) and at + len(pieces[-1]) == len(raw)
