@@ -1,12 +1,15 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on ordinary and one on toxic text; a window is a
-word with the spaces around it. Both compress every window of a text, and the bytes that the
+word with the spaces around it (of a run without white space over ``PIECE`` bytes, pieces that overlap by
+half) or a run of up to ``PHRASE_WORDS`` words. Both compress every window of a text, and the bytes that the
 toxic dictionary saves against the ordinary one are its distance. The counts of windows past
 thresholds, and their shares, go through a logistic model calibrated on rows that the
-dictionaries did not see; a score is the mean of the judges of all folds. Training text for the toxic dictionary is what marks toxic rows off:
-byte strings inside words, ranked by a likelihood ratio. The toxic dictionary extends the
-ordinary content, so windows of ordinary words cost the same in both.
+dictionaries did not see; a score is the mean of the judges of all folds. Training text for the toxic
+dictionary is not all of the toxic text but what marks toxic rows off by a likelihood ratio of at least
+``MARK_GAIN``: byte strings inside words, and pairs of adjacent words, whose runs are the windows of several
+words. The toxic dictionary extends the ordinary content, so windows of ordinary words cost the same in both.
+What neither a string of 5 to 9 bytes nor a pair of neighbours shows is not seen.
 
 Labels are learned from at most ``FIT_ROWS`` labelled rows a class, taken by a hash of the id;
 class shares come from all labelled rows. Scores use the text alone.
@@ -46,6 +49,8 @@ THRESHOLD = 0.3
 FOLDS = 3
 STEPS = (3, 4, 5, 6, 8)
 CACHE_WINDOWS = 600_000
+#: Steps of windows of several words, and the most words of one.
+PHRASE_STEPS, PHRASE_WORDS = (1, 2, 3, 5, 8), 8
 #: Most bytes of a window of one word.
 PIECE = 64
 TRIM = b".,!?;:\"'()|*#%"
@@ -126,6 +131,63 @@ def around(word: bytes, found: Container[bytes]) -> bytes:
     return bytes(c for i, c in enumerate(word) if i in kept)
 
 
+def word_pairs(texts: list[str], toxic: list[int], found: Container[bytes]) -> list[tuple[bytes, bytes]]:
+    """Adjacent words that toxic rows hold together more often, by the rule of marks; words with a mark stand alone."""
+    ids: dict[bytes, int] = {}
+    held: tuple[list, list] = ([], [])
+    for text, t in zip(texts, toxic, strict=True):
+        a = np.array([ids.setdefault(w, len(ids)) for w in windows(text)], np.int64)
+        held[t].append(np.unique(a[:-1] << 32 | a[1:]))
+    n = [max(1, len(h)) for h in held]
+    pairs, a = np.unique(np.concatenate([*held[1], np.empty(0, np.int64)]), return_counts=True)
+    pairs, a = pairs[a >= MARK_ROWS], a[a >= MARK_ROWS]
+    b = np.zeros(len(pairs), np.int64)
+    for h in held[0]:
+        b[np.searchsorted(pairs, np.intersect1d(h, pairs, assume_unique=True))] += 1
+    ea = (a + b) * n[1] / sum(n)
+    gain = 2 * (a * np.log(a / ea) + b * np.log(np.maximum(b, 1) / (a + b - ea)))
+    names = list(ids)
+    best = pairs[(a / n[1] > 8 * (b + 0.5) / n[0]) & (gain > MARK_GAIN)].tolist()
+    out = [(names[p >> 32], names[p & 0xFFFFFFFF]) for p in best]
+    return [(v, w) for v, w in out if not holds(v, found) and not holds(w, found)]
+
+
+def phrase(words: list[bytes]) -> bytes:
+    return b"".join([words[0], *(w[1:] for w in words[1:])])
+
+
+class Phrases:
+    """Windows of several words: runs in which each two neighbours are a pair of a judge's."""
+
+    def __init__(self, judges: list[list[tuple[bytes, bytes]]]):
+        every = sorted(set().union(*judges))
+        words = sorted(set(chain.from_iterable(every)))
+        self.code = {w: i + 1 for i, w in enumerate(words)}
+        self.width = len(words) + 1
+        coded = np.array([self.code[v] * self.width + self.code[w] for v, w in every], np.int64)
+        order = np.argsort(coded)
+        self.pairs = coded[order]
+        mine = [set(j) for j in judges]
+        self.own = np.array([[p in j for j in mine] for p in every], bool).reshape(len(every), len(judges))[order]
+        self.words = [b"", *words]
+
+    def of(self, codes: np.ndarray) -> list[list[bytes]]:
+        """For each judge, the windows in a text whose words have these codes (0: in no pair)."""
+        out: list[list[bytes]] = [[] for _ in range(self.own.shape[1])]
+        if not len(self.pairs) or not codes.any():
+            return out
+        at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
+        p = codes[at] * self.width + codes[at + 1]
+        j = np.minimum(np.searchsorted(self.pairs, p), len(self.pairs) - 1)
+        at, j = at[self.pairs[j] == p], j[self.pairs[j] == p]
+        for k, mine in enumerate(out):
+            starts = at[self.own[j, k]]
+            for run in np.split(starts, np.flatnonzero(np.diff(starts) != 1) + 1) if len(starts) else ():
+                for lo in range(int(run[0]), int(run[-1]) + 1, PHRASE_WORDS - 1):  # neighbours share a word
+                    mine.append(phrase([self.words[c] for c in codes[lo : min(lo + PHRASE_WORDS, int(run[-1]) + 2)]]))
+        return out
+
+
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
     bits = max(14, len(content).bit_length())  # tables that keep every place of the content
     params = zstandard.ZstdCompressionParameters(window_log=max(17, bits + 1), hash_log=bits, chain_log=bits, search_log=4, min_match=5, target_length=16, strategy=zstandard.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
@@ -133,11 +195,12 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(content.ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
 
-def features(steps: np.ndarray) -> np.ndarray:
-    """Of a text whose windows pass so many of STEPS each."""
+def features(steps: np.ndarray, phrases: np.ndarray) -> np.ndarray:
+    """Of a text whose windows of one word pass so many of STEPS each, those of several words so many of PHRASE_STEPS."""
     n = max(1, len(steps))
     c = np.cumsum(np.bincount(steps, minlength=len(STEPS) + 1)[::-1])[::-1][1:]
-    return np.concatenate([np.log1p(c), [math.sqrt(c[1] / n), math.sqrt(c[2] / n), math.log(n), float(c[2] > 0)]])
+    several = np.cumsum(np.bincount(phrases, minlength=len(PHRASE_STEPS) + 1)[::-1])[::-1][1:]
+    return np.concatenate([np.log1p(c), [math.sqrt(c[1] / n), math.sqrt(c[2] / n), math.log(n), float(c[2] > 0)], np.log1p(several), [math.sqrt(several[0] / n)]])
 
 
 class Distances:
@@ -145,20 +208,29 @@ class Distances:
 
     Remembers a bounded number of tokens and windows."""
 
-    def __init__(self, ordinary: bytes, toxic: list[bytes]):
+    def __init__(self, ordinary: bytes, toxic: list[bytes], pairs: list[list[tuple[bytes, bytes]]]):
         self.compressors = [compressor(c) for c in (ordinary, *toxic)]
+        self.several = Phrases(pairs)
         self._clear()
 
     def _clear(self) -> None:
         self.tokens: dict[bytes, int] = {}
         self.windows: dict[bytes, int] = {}
         self.steps = np.zeros((1024, len(self.compressors) - 1), np.int64)
+        self.codes = np.zeros(1024, np.int64)
+        self.phrases: dict[tuple[int, bytes], int] = {}
+
+    def _phrase(self, k: int, w: bytes) -> int:
+        if (k, w) not in self.phrases:
+            saved = len(self.compressors[0].compress(w + PAD)) - len(self.compressors[1 + k].compress(w + PAD))
+            self.phrases[k, w] = int(np.searchsorted(PHRASE_STEPS, saved, side="right"))
+        return self.phrases[k, w]
 
-    def of(self, texts: list[str]) -> list[np.ndarray]:
-        """For each text, windows by toxic dictionaries."""
+    def of(self, texts: list[str]) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+        """For each text, windows of one word by toxic dictionaries, and for each of those the windows of several words."""
         cut = [tokens(t) for t in texts]
         here = set().union(*cut)
-        if len(self.tokens) + len(here) > CACHE_WINDOWS:
+        if len(self.tokens) + len(here) + len(self.phrases) > CACHE_WINDOWS:
             self._clear()
         new = list(here - self.tokens.keys())
         made = list(map(window, new))
@@ -168,11 +240,18 @@ class Distances:
             at = len(self.windows)
             while at + len(fresh) > len(self.steps):
                 self.steps = np.concatenate([self.steps, np.zeros_like(self.steps)])
+                self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
             self.steps[at : at + len(fresh)] = np.searchsorted(STEPS, (sizes[0] - sizes[1:]).T, side="right")
+            self.codes[at : at + len(fresh)] = [self.several.code.get(w, 0) for w in fresh]
             self.windows.update(zip(fresh, range(at, at + len(fresh)), strict=True))
         self.tokens.update(zip(new, map(self.windows.__getitem__, made), strict=True))
         get = self.tokens.__getitem__
-        return [self.steps[np.fromiter(map(get, t), np.int64, len(t))] for t in cut]
+        out = []
+        for t in cut:
+            at = np.fromiter(map(get, t), np.int64, len(t))
+            runs = self.several.of(self.codes[at])
+            out.append((self.steps[at], [np.array([self._phrase(k, w) for w in r], np.int64) for k, r in enumerate(runs)]))
+        return out
 
 
 @dataclass
@@ -180,6 +259,7 @@ class Judge:
     """A toxic dictionary with the logistic model of its distances."""
 
     toxic: bytes
+    pairs: list[tuple[bytes, bytes]]
     low: np.ndarray  # features beyond what was calibrated count as its ends
     high: np.ndarray
     mean: np.ndarray
@@ -197,13 +277,16 @@ class Model:
     judges: list[Judge]
     share: float
 
+    def distances(self) -> Distances:
+        return Distances(self.ordinary, [j.toxic for j in self.judges], [j.pairs for j in self.judges])
+
     def scores(self, texts: list[str], distances: Distances | None = None) -> list[float]:
         if not self.judges:
             return [self.share] * len(texts)
-        distances = distances or Distances(self.ordinary, [j.toxic for j in self.judges])
+        distances = distances or self.distances()
         out = []
-        for steps in distances.of(texts):
-            v = sum(j.logit(features(steps[:, k])) for k, j in enumerate(self.judges)) / len(self.judges)
+        for steps, phrases in distances.of(texts):
+            v = sum(j.logit(features(steps[:, k], phrases[k])) for k, j in enumerate(self.judges)) / len(self.judges)
             out.append(1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, v)))))
         return out
 
@@ -224,12 +307,22 @@ def _ordinary(texts: list[str], toxic: list[int]) -> bytes:
     return _trained(list(islice(chain.from_iterable(map(windows, mine)), 0, None, step)), DICT_BYTES)
 
 
-def _toxic(texts: list[str], toxic: list[int], base: bytes) -> bytes:
-    """The ordinary content with what is trained on the windows that mark toxic rows off."""
+def _toxic(texts: list[str], toxic: list[int], base: bytes) -> tuple[bytes, list[tuple[bytes, bytes]]]:
+    """The ordinary content with what is trained on the windows that mark toxic rows off, and the pairs that make windows of several words."""
     found = marks(texts, toxic)
-    if not found:
-        return base
     strings = set(found)
+    pairs = word_pairs(texts, toxic, strings)
+    content = base
+    if pairs:
+        several = Phrases([pairs])
+        runs = []
+        for x, t in zip(texts, toxic, strict=True):
+            if t:
+                runs += several.of(np.array([several.code.get(w, 0) for w in windows(x)], np.int64))[0]
+        trained = _trained([b"".join(runs[i : i + 4]) for i in range(0, len(runs), 4)], DICT_BYTES, 32, 6)
+        content += trained + b"".join(p for p in map(phrase, pairs) if p not in trained)
+    if not found:
+        return content, pairs
     inside = {w for w in set().union(*(windows(x) for x, t in zip(texts, toxic, strict=True) if t)) if holds(w, strings)}
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for x, t in zip(texts, toxic, strict=True):
@@ -237,9 +330,9 @@ def _toxic(texts: list[str], toxic: list[int], base: bytes) -> bytes:
     rate = max(1, len(toxic) - sum(toxic)) / max(1, sum(toxic))
     marked = {w for w in inside if seen[1][w] * rate > 4 * seen[0][w]}
     holding = [around(w, strings) for x, t in zip(texts, toxic, strict=True) if t for w in windows(x) if w in marked]
-    content = _trained([b"".join(holding[i : i + 8]) for i in range(0, len(holding), 8)], DICT_BYTES, 32, 6)
+    trained = _trained([b"".join(holding[i : i + 8]) for i in range(0, len(holding), 8)], DICT_BYTES, 32, 6)
     # what the trainer left out follows, the strongest marks last, where offsets are shortest
-    return base + content + b"".join(m for m in reversed(found) if m not in content)
+    return content + trained + b"".join(m for m in reversed(found) if m not in trained), pairs
 
 
 def fit(texts: list[str], toxic: list[int], counts: tuple[int, int]) -> Model:
@@ -252,11 +345,11 @@ def fit(texts: list[str], toxic: list[int], counts: tuple[int, int]) -> Model:
         seen, new = np.flatnonzero(folds != k), np.flatnonzero(folds == k)
         if len(set(y[seen])) < 2 or len(set(y[new])) < 2:
             continue
-        trained = _toxic([texts[i] for i in seen], [toxic[i] for i in seen], base)
-        x = np.array([features(steps[:, 0]) for steps in Distances(base, [trained]).of([texts[i] for i in new])])
+        trained, pairs = _toxic([texts[i] for i in seen], [toxic[i] for i in seen], base)
+        x = np.array([features(steps[:, 0], phrases[0]) for steps, phrases in Distances(base, [trained], [pairs]).of([texts[i] for i in new])])
         n = np.bincount(y[new], minlength=2)
         weight = np.where(y[new] == 1, counts[1] / n[1], counts[0] / n[0])
-        judges.append(Judge(trained, x.min(0), x.max(0), *_logistic(x, y[new].astype(float), weight * len(new) / weight.sum())))
+        judges.append(Judge(trained, pairs, x.min(0), x.max(0), *_logistic(x, y[new].astype(float), weight * len(new) / weight.sum())))
     return Model(base, judges, share)
 
 
@@ -286,7 +379,7 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> Da
 
     def score(batches):
         model = sent.value
-        distances = Distances(model.ordinary, [j.toxic for j in model.judges])
+        distances = model.distances()
         for b in batches:
             scores = pa.array(model.scores([t or "" for t in b.column(text_col).to_pylist()], distances), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], names=[*b.schema.names, "__score"])

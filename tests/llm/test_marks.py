@@ -48,3 +48,17 @@ def test_texts_without_spaces():
         assert raw.startswith(p, at) and p[toxicity.PIECE // 2 :] == q[: len(p) - toxicity.PIECE // 2]
         at += toxicity.PIECE // 2
     assert raw.endswith(pieces[-1]) and at + len(pieces[-1]) == len(raw)
+
+
+def test_phrases_of_everyday_words():
+    """No word is more frequent in toxic rows."""
+    assert accuracy("phrase", 1000) > 0.95
+
+
+def test_runs_of_marked_pairs():
+    several = toxicity.Phrases([[(b" a ", b" b "), (b" b ", b" c ")], [(b" b ", b" c ")]])
+    of = lambda text: several.of(toxicity.np.array([several.code.get(w, 0) for w in toxicity.windows(text)], toxicity.np.int64))
+    assert of("x a b c x b c a") == [[b" a b c ", b" b c "], [b" b c ", b" b c "]]
+    assert of("") == of("a") == of("c b a") == [[], []]
+    long = toxicity.Phrases([[(b" a ", b" a ")]]).of(toxicity.np.ones(20, toxicity.np.int64))[0]
+    assert [w.count(b"a") for w in long] == [8, 8, 6]
