@@ -239,11 +239,38 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return materialize(rows.mapInArrow(compare, "a long, b long"), "links")
 
 
+def classes_of(described: DataFrame) -> DataFrame:
+    """One row of each class."""
+    first = described.where("n > 0").groupBy("cid").agg(F.min("row").alias("row"))
+    return materialize(described.join(small_side(materialize(first.select("row"), "reps")), "row", "left_semi").select("cid", "doc_id", "n", "sketch", "places", "prefix"), "classes")
+
+
+def class_links(docs: DataFrame, described: DataFrame) -> DataFrame:
+    """a, b: every linked pair of classes once, those inside groups too; the cost follows the candidate pairs."""
+    reps = classes_of(described)
+    place = reps.select("cid", "n", "sketch", F.explode("prefix").alias("token"))
+    x, y = place.alias("x"), place.alias("y")
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cid") < F.col("y.cid")) & may_link("x", "y"))
+    return verify(materialize(pairs.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct(), "candidates"), reps, docs)
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_links: with how many other rows a row links, rows of an equal set included."""
+    arrow_rows(docs.sparkSession)
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    described = describe(docs)
+    links = class_links(docs, described)
+    sizes = materialize(described.where("n > 0").groupBy("cid").agg(F.count("*").alias("rows")), "sizes")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(sizes, F.col("b") == F.col("cid")).groupBy(F.col("a").alias("cid")).agg(F.sum("rows").alias("others"))
+    counts = sizes.join(others, "cid", "left").select("cid", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return described.select("doc_id", "cid").join(counts, "cid", "left").select("doc_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
 def link_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
     """node, comp over class ids that link with another class."""
     spark = docs.sparkSession
-    first = described.where("n > 0").groupBy("cid").agg(F.min("row").alias("row"))
-    reps = materialize(described.join(small_side(materialize(first.select("row"), "reps")), "row", "left_semi").select("cid", "doc_id", "n", "sketch", "places", "prefix"), "classes")
+    reps = classes_of(described)
     facts = reps.select("cid", "n", "sketch")
     place = reps.select("cid", "n", F.posexplode("prefix").alias("pos", "token")).select("cid", "token", F.shiftleft("n", 32).bitwiseOR(F.col("pos").cast("long")).alias("at"))
     tokens = place.repartition(n_shuffle(spark), "token")  # one shuffle for the count and the join
