@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that may be sent to every executor. Beyond it the same join shuffles.
-BROADCAST_ROWS = 1_000_000
+#: Rows and bytes that may be sent to every executor. Beyond either the same join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 #: ASCII white space of the text contracts.
 WS_CHARS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
@@ -47,17 +50,43 @@ def _drop_made() -> None:
             return
 
 
+def give_back() -> None:
+    """Returns freed memory of the driver's Python to the system, where its allocator can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+@contextlib.contextmanager
+def brief_plans(spark: SparkSession):
+    """Plans that run meanwhile are described in few words: the driver keeps the text of a thousand of them."""
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = new_dir(spark, tag)
-    df.write.parquet(path)
+    with brief_plans(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if a materialised table is within the bound, else leave a shuffle join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if a materialised table is within the bounds of rows and bytes, else leave a shuffle join."""
+    wide = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        own = F.octet_length(f.name) if kind in ("string", "binary") else F.size(f.name) * 16 if kind in ("array", "map") else F.lit(16)
+        wide += F.coalesce(own, F.lit(0)).cast("long") + 8
+    n, most = df.select(wide.alias("b")).limit(rows + 1).agg(F.count("*"), F.sum("b")).first()
+    return F.broadcast(df) if n <= rows and (most or 0) <= size else df
 
 
 def keep_one_row(docs: DataFrame, key: Column, rows: DataFrame) -> DataFrame:
@@ -66,10 +95,19 @@ def keep_one_row(docs: DataFrame, key: Column, rows: DataFrame) -> DataFrame:
     rows needs to list only keys that lose a row. Texts are shuffled only beyond the broadcast bound."""
     listed = materialize(rows.groupBy("key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("n > 1 or not kept"), "losing")
     losing, repeated = listed.select("key"), listed.where("kept").select("key")
-    marked = docs.withColumn("__key", key)
-    stay = marked.join(small_side(losing), marked["__key"].eqNullSafe(losing["key"]), "left_anti")
-    one = marked.join(small_side(repeated), marked["__key"].eqNullSafe(repeated["key"]), "left_semi").dropDuplicates(["__key"])
-    return stay.unionByName(one).drop("__key")
+    own = free_name(docs, "key_of_row")
+    marked = docs.withColumn(own, key)
+    stay = marked.join(small_side(losing), marked[own].eqNullSafe(losing["key"]), "left_anti")
+    one = marked.join(small_side(repeated), marked[own].eqNullSafe(repeated["key"]), "left_semi").dropDuplicates([own])
+    return stay.unionByName(one).drop(own)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, lengthened until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_or_empty(name: str = "text") -> Column:
