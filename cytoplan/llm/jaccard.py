@@ -12,9 +12,11 @@ with fewer words the whole sequence is its one shingle. Two documents link when
    with the least one only, which is linear, and verified links make the first groups.
 4. The matrix holds for each token the groups whose union of prefix tokens has it. A class that
    meets another group there opens it if the group's bounds on set sizes and on the overlap that
-   is left after this token allow a link; its members are compared by size and by a parity sketch, whose distance bounds the symmetric
-   difference from below, and what passes is verified on whole texts. No link between classes
-   of different groups can escape, and links inside a group change nothing.
+   is left after this token allow a link; its members are compared by size and by a parity sketch, whose
+   distance bounds the symmetric difference from below, and what passes is verified on whole texts. Where a
+   group has one member under the token, that member's sketch is the bound: linked sets share a token
+   that both have in their prefixes. No link between classes of different groups can escape, and links
+   inside a group change nothing.
 
 Verification streams members past a leader's text, salted, so that no leader's members gather in
 one task. Defined cases: null texts and texts without words have an empty set, link with nothing and
@@ -45,7 +47,7 @@ SKETCH = 16
 #: Members that one verifying task streams past a leader.
 SALT_MEMBERS = 64
 #: Tokens that a counting task gathers before it hands them on.
-COUNT_TOKENS = 1_000_000
+COUNT_TOKENS = 500_000
 _ONE = np.uint64(1)
 
 
@@ -99,19 +101,26 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = min(20, max(5, math.ceil(math.log2(size / 6 / (1 << 17) + 1))))
 
+    rest = 44 - bits
+    width = (rest + 7) // 8
+
     def gather(batches):
+        """A bucket's tokens of a run of texts: those met once, and those met more often with their counts."""
         hashes, held, n = WordHashes(), [], 0
 
+        def parts(tokens):
+            ends = np.searchsorted(tokens, np.arange(1, (1 << bits) + 1, dtype=np.uint64) << np.uint64(rest))
+            low = (tokens & np.uint64((1 << rest) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+            return np.concatenate([[0], ends[:-1]]), ends, low
+
         def out():
-            tokens = np.sort(np.concatenate(held) >> np.uint64(20))
-            ends = np.searchsorted(tokens, np.arange(1, (1 << bits) + 1, dtype=np.uint64) << np.uint64(44 - bits))
-            starts = np.concatenate([[0], ends[:-1]])
-            low = (tokens & np.uint64((1 << (44 - bits)) - 1)).astype(np.uint64)
-            width = (44 - bits + 7) // 8
-            raw = low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-            full = np.flatnonzero(ends > starts)
-            packed = [raw[starts[i] : ends[i]].tobytes() for i in full]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "tokens"])
+            tokens, times = np.unique(np.concatenate(held) >> np.uint64(20), return_counts=True)
+            many = times > 1
+            times = times[many].astype("<u4")
+            (lo, hi, one), (lo2, hi2, more) = parts(tokens[~many]), parts(tokens[many])
+            full = np.flatnonzero((hi > lo) | (hi2 > lo2))
+            cols = [[one[lo[i] : hi[i]].tobytes() for i in full], [more[lo2[i] : hi2[i]].tobytes() for i in full], [times[lo2[i] : hi2[i]].tobytes() for i in full]]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(c, pa.binary()) for c in cols)], names=["bucket", "once", "more", "times"])
 
         for b in batches:
             for text in b.column(0).to_pylist():
@@ -126,29 +135,35 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield out()
 
     def count(batches):
-        width = (44 - bits + 7) // 8
-        bucket, held = None, []
+        bucket, held = None, ([], [], [])
 
-        def out():
-            raw = np.frombuffer(b"".join(held), np.uint8).reshape(-1, width)
+        def unpacked(parts):
+            raw = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, width)
             wide = np.zeros((len(raw), 8), np.uint8)
             wide[:, :width] = raw
-            tokens, n = np.unique(wide.view("<u8").ravel(), return_counts=True)
+            return wide.view("<u8").ravel()
+
+        def out():
+            once, more = map(unpacked, held[:2])
+            tokens, at = np.unique(np.concatenate([once, more]), return_inverse=True)
+            times = np.frombuffer(b"".join(held[2]), "<u4").astype(np.int64)
+            n = np.bincount(at, np.concatenate([np.ones(len(once), np.int64), times]), len(tokens)).astype(np.int64)
             on = n >= FREQUENT_COUNT
-            token = (tokens[on].astype(np.int64)) + (int(bucket) << (44 - bits))
+            token = tokens[on].astype(np.int64) + (int(bucket) << rest)
             return pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), pa.array(n[on], pa.int64())], names=["token", "n"])
 
         for b in batches:
-            for k, packed in zip(b.column("bucket").to_pylist(), b.column("tokens").to_pylist(), strict=True):
+            for k, *packed in zip(*(b.column(c).to_pylist() for c in ("bucket", "once", "more", "times")), strict=True):
                 if k != bucket:
-                    if held:
+                    if bucket is not None:
                         yield out()
-                    bucket, held = k, []
-                held.append(packed)
-        if held:
+                    bucket, held = k, ([], [], [])
+                for h, x in zip(held, packed, strict=True):
+                    h.append(x)
+        if bucket is not None:
             yield out()
 
-    packed = docs.select("text").mapInArrow(gather, "bucket int, tokens binary")
+    packed = docs.select("text").mapInArrow(gather, "bucket int, once binary, more binary, times binary")
     counted = packed.repartition(n_shuffle(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(count, "token long, n long")
     top = counted.orderBy(F.col("n").desc(), "token").limit(FREQUENT).toArrow()
     token, n = top.column("token").to_numpy(), top.column("n").to_numpy()
@@ -291,18 +306,26 @@ def link_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
     several = rows.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("token")
     several = materialize(several, "several")
     query = materialize(rows.join(several, "token", "left_semi"), "query")
-    places = reps.select("cid", "places")
-    union = query.select("cid", "comp").distinct().join(places, "cid").groupBy(F.col("comp").alias("group")).agg(F.array(*(F.bit_or(F.col("places")[k]) for k in range(SKETCH))).alias("union"))
-    matrix = query.groupBy("token", F.col("comp").alias("group")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("most")).join(union, "group")
-    fits = (100 * F.col("n") >= SIMILARITY * F.col("lo")) & (100 * F.col("hi") >= SIMILARITY * F.col("n"))
+    cells = materialize(query.groupBy("token", F.col("comp").alias("group")).agg(F.count("*").alias("members"), F.min("cid").alias("one"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("most")), "cells")
+    fits = (F.col("x.comp") < F.col("y.group")) & (100 * F.col("x.n") >= SIMILARITY * F.col("y.lo")) & (100 * F.col("y.hi") >= SIMILARITY * F.col("x.n"))
     # at the first token that two sets share, what is left of each bounds their overlap, as do the places of the union
-    outside = F.bit_count(F.col("places")[0].bitwiseAND(F.bitwise_not(F.col("union")[0])))
-    for k in range(1, SKETCH):
-        outside = outside + F.bit_count(F.col("places")[k].bitwiseAND(F.bitwise_not(F.col("union")[k])))
-    fits &= (100 + SIMILARITY) * F.least("rest", "most", F.col("n") - outside) >= SIMILARITY * (F.col("n") + F.col("lo"))
-    opened = query.join(places, "cid").join(matrix, "token").where((F.col("comp") < F.col("group")) & fits).select("cid", "group").distinct()
-    members = query.select(F.col("cid").alias("b"), F.col("comp").alias("group")).distinct().join(facts.alias("y"), F.col("b") == F.col("y.cid"))
-    asked = opened.join(facts.alias("x"), "cid").join(members, "group").where(may_link("x", "y")).select(F.least(F.col("x.cid"), "b").alias("a"), F.greatest(F.col("x.cid"), "b").alias("b")).distinct()
+    most = lambda *others: (100 + SIMILARITY) * F.least("x.rest", "y.most", *others) >= SIMILARITY * (F.col("x.n") + F.col("y.lo"))
+    # a group with one member under a token is asked for that member there: sketches bound the pair itself
+    sketch = reps.select("cid", "sketch")
+    lone = cells.where("members = 1").join(sketch.withColumnRenamed("cid", "one"), "one").withColumn("n", F.col("lo"))
+    pairs = query.join(sketch, "cid").alias("x").join(lone.alias("y"), (F.col("x.token") == F.col("y.token")) & fits & most() & may_link("x", "y"))
+    pairs = pairs.select(F.least("x.cid", "y.one").alias("a"), F.greatest("x.cid", "y.one").alias("b")).distinct()
+    # of the others the union is bounded first, and the members of those that qualify are compared
+    wide = cells.where("members > 1")
+    places = reps.select("cid", "places")
+    members = query.join(wide.select(F.col("group").alias("comp")).distinct(), "comp", "left_semi").select(F.col("cid").alias("b"), F.col("comp").alias("group")).distinct()
+    union = members.join(places, F.col("b") == F.col("cid")).groupBy("group").agg(F.array(*(F.bit_or(F.col("places")[k]) for k in range(SKETCH))).alias("union"))
+    matrix = wide.join(union, "group")
+    outside = sum((F.bit_count(F.col("x.places")[k].bitwiseAND(F.bitwise_not(F.col("y.union")[k]))) for k in range(1, SKETCH)), F.bit_count(F.col("x.places")[0].bitwiseAND(F.bitwise_not(F.col("y.union")[0]))))
+    asking = query.join(wide.select("token").distinct(), "token", "left_semi").join(places, "cid")
+    opened = asking.alias("x").join(matrix.alias("y"), (F.col("x.token") == F.col("y.token")) & fits & most(F.col("x.n") - outside)).select("x.cid", "y.group").distinct()
+    inside = opened.join(facts.alias("x"), "cid").join(members.join(facts.withColumnRenamed("cid", "b"), "b").alias("y"), "group").where(may_link("x", "y"))
+    asked = pairs.unionByName(inside.select(F.least("x.cid", "y.b").alias("a"), F.greatest("x.cid", "y.b").alias("b"))).distinct()
     rest = materialize(asked.join(stars, ["a", "b"], "left_anti"), "rest")
     more = verify(rest, reps, docs)
     return connect(near.unionByName(more))
