@@ -1,33 +1,31 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary and one on toxic text; a window is a
-word with the spaces around it (of a run without white space over ``PIECE`` bytes, pieces that overlap by
-half) or a run of up to ``PHRASE_WORDS`` words. Both compress every window of a text, and the bytes that the
-toxic dictionary saves against the ordinary one are its distance. The counts of windows past
-thresholds, and their shares, go through a logistic model calibrated on rows that the
-dictionaries did not see; a score is the mean of the judges of all folds. Training text for the toxic
-dictionary is not all of the toxic text but what marks toxic rows off by a likelihood ratio of at least
-``MARK_GAIN``: byte strings inside words, and pairs of adjacent words, whose runs are the windows of several
-words. The toxic dictionary extends the ordinary content, so windows of ordinary words cost the same in both.
-What neither a string of 5 to 9 bytes nor a pair of neighbours shows is not seen.
-
-Labels are learned from at most ``FIT_ROWS`` labelled rows a class, taken by a hash of the id;
-class shares come from all labelled rows. Scores use the text alone.
-
-Defined cases: null and empty texts have no windows and get the model's score for that; a null
-id counts as the empty string for the hold-out rule; without both classes in each fold of the
-labels every score is the share of toxic labels (0 without labels); repeated rows repeat; several
-labels of one id: toxic if any is. Batches of whole texts bound a task's memory.
+Zstandard dictionaries are trained on ordinary and on toxic text, of equal size and by the same rule: the windows
+that most rows of the class repeat, the most frequent first, down to ``FLOOR`` rows, and the trainer's pick of
+long runs without white space, which have dictionaries of their own. A window is a word with the spaces around it
+(of a run without white space over ``PIECE`` bytes, pieces that overlap by half) or two adjacent words; of
+the latter, those that a class's dictionary was trained on, for others are in neither. Both dictionaries compress every
+window of a text. The bytes that the toxic one saves, or costs, against the ordinary one are its distance, and
+counts of windows past thresholds, of bytes and of the share saved, go through a logistic model calibrated on rows
+that the toxic dictionary did not see; a score is the mean of the judges of all folds. Both dictionaries end in the same
+content, trained on ordinary text, so that everyday words cost the same in both.
+
+Labels are learned from at most ``FIT_ROWS`` labelled rows a class, taken by a hash of the id; all windows of their whole
+texts count. Class shares come from all labelled rows. Scores use the text alone.
+
+Defined cases: null and empty texts have no windows and get the model's score for that; an empty table gives no rows;
+a null id counts as the empty string for the hold-out rule; a fold without both classes has no judge, and without
+any judge every score is the share of toxic labels (0 without labels); repeated rows repeat; several labels of one id: toxic if
+any is; ties between equally frequent windows go by their bytes; extra columns are ignored, or kept by ``drop_toxic`` whatever
+their names. Long texts are scored whole; a task holds one batch of texts and a bounded number of windows.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from collections.abc import Container
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,22 +34,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, table
+from .common import arrow_rows, free_name, give_back, table
 
 #: Labelled rows of each class that the classifier is fitted on.
 FIT_ROWS = 3000
-DICT_BYTES = 6144
-#: A mark's least number of toxic rows and its least likelihood ratio (chance below 1e-4 a string), whatever the number of rows.
-MARK_ROWS, MARK_GAIN = 5, 16.0
-MARK_LENGTHS = range(5, 10)
+#: Bytes of the content that both dictionaries share, of a class's own words, pairs of words, and of what is trained on long runs.
+BASE_BYTES, WORD_BYTES, PAIR_BYTES, RUN_BYTES = 6144, 16384, 16384, 32768
+#: Rows of a class that repeat a window that its dictionary is trained on.
+FLOOR = 5
 THRESHOLD = 0.3
 #: Parts of the labelled rows; each is judged by dictionaries of the others.
 FOLDS = 3
-STEPS = (3, 4, 5, 6, 8)
-CACHE_WINDOWS = 600_000
-#: Steps of windows of several words, and the most words of one.
-PHRASE_STEPS, PHRASE_WORDS = (1, 2, 3, 5, 8), 8
-#: Most bytes of a window of one word.
+#: Thresholds of a window's distance in bytes, either way, and of the share of its bytes that is saved.
+STEPS, SHARES = (2, 3, 4, 5, 6, 8, 10), (0.3, 0.5, 0.7, 0.9)
+#: Tokens and windows that a task remembers.
+CACHE_WINDOWS = 150_000
+#: Most bytes of a window of one word; longer runs are pieces.
 PIECE = 64
 TRIM = b".,!?;:\"'()|*#%"
 #: The compressor looks for no match in a block's last bytes, so a window ends in a run that costs the same in both.
@@ -71,6 +69,11 @@ def window(token: bytes) -> bytes:
     return b" " + token.strip(TRIM) + b" "
 
 
+def is_run(w: bytes) -> bool:
+    """Whether a window goes by the dictionaries of long runs."""
+    return len(w) > PIECE // 2 + 2
+
+
 def windows(text: str) -> list[bytes]:
     return list(map(window, tokens(text)))
 
@@ -84,110 +87,6 @@ def _trained(samples: list[bytes], size: int, k: int = 64, d: int = 8) -> bytes:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
-def marks(texts: list[str], toxic: list[int]) -> list[bytes]:
-    """Byte strings inside words by how far toxic rows hold them more often than others, strongest first.
-
-    One length at a time, and of ordinary rows only what toxic rows hold often, so that the tables stay small."""
-    n = [max(1, len(toxic) - sum(toxic)), max(1, sum(toxic))]
-    one: dict[bytes, bytes] = {}
-    held: tuple[list, list] = ([], [])
-    for text, t in zip(texts, toxic, strict=True):
-        held[t].append([one.setdefault(w, w) for w in set(windows(text))])
-    ranked = []
-    for k in MARK_LENGTHS:
-        seen: Counter = Counter()
-        for words in held[1]:
-            seen.update({w[i : i + k] for w in words for i in range(len(w) - k + 1)})
-        often = {s: a for s, a in seen.items() if a >= MARK_ROWS}
-        del seen
-        other: Counter = Counter()
-        for words in held[0]:
-            other.update({s for w in words for i in range(len(w) - k + 1) if (s := w[i : i + k]) in often})
-        for s, a in often.items():
-            b = other[s]
-            if a / n[1] > 8 * (b + 0.5) / n[0]:
-                ea = (a + b) * n[1] / sum(n)
-                ranked.append((-2 * (a * math.log(a / ea) + (b * math.log(b / (a + b - ea)) if b else 0.0)), -len(s), s))
-    chosen: dict[bytes, None] = {}
-    joined = bytearray()  # strings hold no white space
-    for gain, _, s in sorted(ranked):
-        if gain < -MARK_GAIN and s not in joined and not holds(s, chosen):
-            chosen[s] = None
-            joined += s + b"\n"
-    return list(chosen)
-
-
-def holds(word: bytes, found: Container[bytes]) -> bool:
-    """Whether a string of found is in word."""
-    return any(word[i : i + k] in found for k in MARK_LENGTHS for i in range(len(word) - k + 1))
-
-
-def around(word: bytes, found: Container[bytes]) -> bytes:
-    """word, or of a long one what is near the strings of found: the rest marks nothing."""
-    if len(word) <= PIECE // 2:
-        return word
-    at = [range(max(0, i - 3), i + k + 3) for k in MARK_LENGTHS for i in range(len(word) - k + 1) if word[i : i + k] in found]
-    kept = set(chain.from_iterable(at))
-    return bytes(c for i, c in enumerate(word) if i in kept)
-
-
-def word_pairs(texts: list[str], toxic: list[int], found: Container[bytes]) -> list[tuple[bytes, bytes]]:
-    """Adjacent words that toxic rows hold together more often, by the rule of marks; words with a mark stand alone."""
-    ids: dict[bytes, int] = {}
-    held: tuple[list, list] = ([], [])
-    for text, t in zip(texts, toxic, strict=True):
-        a = np.array([ids.setdefault(w, len(ids)) for w in windows(text)], np.int64)
-        held[t].append(np.unique(a[:-1] << 32 | a[1:]))
-    n = [max(1, len(h)) for h in held]
-    pairs, a = np.unique(np.concatenate([*held[1], np.empty(0, np.int64)]), return_counts=True)
-    pairs, a = pairs[a >= MARK_ROWS], a[a >= MARK_ROWS]
-    b = np.zeros(len(pairs), np.int64)
-    for h in held[0]:
-        b[np.searchsorted(pairs, np.intersect1d(h, pairs, assume_unique=True))] += 1
-    ea = (a + b) * n[1] / sum(n)
-    gain = 2 * (a * np.log(a / ea) + b * np.log(np.maximum(b, 1) / (a + b - ea)))
-    names = list(ids)
-    best = pairs[(a / n[1] > 8 * (b + 0.5) / n[0]) & (gain > MARK_GAIN)].tolist()
-    out = [(names[p >> 32], names[p & 0xFFFFFFFF]) for p in best]
-    return [(v, w) for v, w in out if not holds(v, found) and not holds(w, found)]
-
-
-def phrase(words: list[bytes]) -> bytes:
-    return b"".join([words[0], *(w[1:] for w in words[1:])])
-
-
-class Phrases:
-    """Windows of several words: runs in which each two neighbours are a pair of a judge's."""
-
-    def __init__(self, judges: list[list[tuple[bytes, bytes]]]):
-        every = sorted(set().union(*judges))
-        words = sorted(set(chain.from_iterable(every)))
-        self.code = {w: i + 1 for i, w in enumerate(words)}
-        self.width = len(words) + 1
-        coded = np.array([self.code[v] * self.width + self.code[w] for v, w in every], np.int64)
-        order = np.argsort(coded)
-        self.pairs = coded[order]
-        mine = [set(j) for j in judges]
-        self.own = np.array([[p in j for j in mine] for p in every], bool).reshape(len(every), len(judges))[order]
-        self.words = [b"", *words]
-
-    def of(self, codes: np.ndarray) -> list[list[bytes]]:
-        """For each judge, the windows in a text whose words have these codes (0: in no pair)."""
-        out: list[list[bytes]] = [[] for _ in range(self.own.shape[1])]
-        if not len(self.pairs) or not codes.any():
-            return out
-        at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
-        p = codes[at] * self.width + codes[at + 1]
-        j = np.minimum(np.searchsorted(self.pairs, p), len(self.pairs) - 1)
-        at, j = at[self.pairs[j] == p], j[self.pairs[j] == p]
-        for k, mine in enumerate(out):
-            starts = at[self.own[j, k]]
-            for run in np.split(starts, np.flatnonzero(np.diff(starts) != 1) + 1) if len(starts) else ():
-                for lo in range(int(run[0]), int(run[-1]) + 1, PHRASE_WORDS - 1):  # neighbours share a word
-                    mine.append(phrase([self.words[c] for c in codes[lo : min(lo + PHRASE_WORDS, int(run[-1]) + 2)]]))
-        return out
-
-
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
     bits = max(14, len(content).bit_length())  # tables that keep every place of the content
     params = zstandard.ZstdCompressionParameters(window_log=max(17, bits + 1), hash_log=bits, chain_log=bits, search_log=4, min_match=5, target_length=16, strategy=zstandard.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
@@ -195,71 +94,162 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(content.ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
 
-def features(steps: np.ndarray, phrases: np.ndarray) -> np.ndarray:
-    """Of a text whose windows of one word pass so many of STEPS each, those of several words so many of PHRASE_STEPS."""
-    n = max(1, len(steps))
-    c = np.cumsum(np.bincount(steps, minlength=len(STEPS) + 1)[::-1])[::-1][1:]
-    several = np.cumsum(np.bincount(phrases, minlength=len(PHRASE_STEPS) + 1)[::-1])[::-1][1:]
-    return np.concatenate([np.log1p(c), [math.sqrt(c[1] / n), math.sqrt(c[2] / n), math.log(n), float(c[2] > 0)], np.log1p(several), [math.sqrt(several[0] / n)]])
+class Rows:
+    """Training texts as arrays of numbers of their windows."""
+
+    def __init__(self, texts: list[str]):
+        self.ids: dict[bytes, int] = {}
+        self.cut = [np.array([self.ids.setdefault(w, len(self.ids)) for w in windows(t)], np.int64) for t in texts]
+        self.names = list(self.ids)
+
+    def _repeated(self, parts: list[np.ndarray], spelt, size: int) -> dict:
+        """What at least FLOOR of parts hold, most often first, with its bytes, up to size bytes of content."""
+        found, n = np.unique(np.concatenate([*map(np.unique, parts), np.empty(0, np.int64)]), return_counts=True)
+        found, n = found[n >= FLOOR], n[n >= FLOOR]
+        order = np.argsort(-n, kind="stable")
+        order = order[: size // 2]  # a window brings two bytes at least, so no more than these are looked at
+        out, content = {}, bytearray()
+        for _, w, f in sorted((-int(n[i]), spelt(int(found[i])), int(found[i])) for i in order):
+            if len(content) >= size:
+                break
+            if len(w) > 4 and w.strip() not in content:
+                content += w[1:]
+                out[f] = w
+        return out
+
+    def words(self, rows: list[int]) -> bytes:
+        """A class's own dictionary content of words."""
+        return b"".join(w[1:] for w in self._repeated([self.cut[i] for i in rows], self.names.__getitem__, WORD_BYTES).values())
 
+    def runs(self, rows: list[int]) -> bytes:
+        """And that of long runs without white space."""
+        long = [b"".join(p) for i in rows if (p := [w for w in map(self.names.__getitem__, self.cut[i]) if is_run(w)])]
+        return _trained(long, RUN_BYTES, 16, 8) if long else b""
 
-class Distances:
-    """Steps that the distances of windows pass, for one ordinary dictionary and each toxic one.
+    def pairs(self, rows: list[int]) -> dict[tuple[bytes, bytes], bytes]:
+        """And its pairs of adjacent words with their bytes."""
+        name = self.names.__getitem__
+        found = self._repeated([self.cut[i][:-1] << 32 | self.cut[i][1:] for i in rows], lambda p: name(p >> 32) + name(p & 0xFFFFFFFF)[1:], PAIR_BYTES)
+        return {(name(p >> 32), name(p & 0xFFFFFFFF)): w for p, w in found.items()}
+
+    def base(self, rows: list[int]) -> bytes:
+        """Trained on all windows of ordinary rows, a row a sample."""
+        return _trained([b"".join(map(self.names.__getitem__, self.cut[i])) for i in rows], BASE_BYTES, 64, 8) if rows else b""
+
+
+#: A window's code: its step each way and its step of the share.
+CODES = (len(STEPS) + 1) ** 2 * (len(SHARES) + 1)
+
+
+def step_codes(ordinary: np.ndarray, toxic: np.ndarray, least: int) -> np.ndarray:
+    """Codes of windows by their compressed sizes; least is the size of no window."""
+    saved = ordinary - toxic
+    share = np.where(saved >= STEPS[0], saved / np.maximum(1, ordinary - least - 2), 0.0)
+    up, down = np.searchsorted(STEPS, saved, side="right"), np.searchsorted(STEPS, -saved, side="right")
+    return (up * (len(STEPS) + 1) + down) * (len(SHARES) + 1) + np.searchsorted(SHARES, share, side="right")
 
-    Remembers a bounded number of tokens and windows."""
 
-    def __init__(self, ordinary: bytes, toxic: list[bytes], pairs: list[list[tuple[bytes, bytes]]]):
-        self.compressors = [compressor(c) for c in (ordinary, *toxic)]
-        self.several = Phrases(pairs)
+def _past() -> np.ndarray:
+    """Which thresholds a code is past."""
+    up, rest = np.divmod(np.arange(CODES), (len(STEPS) + 1) * (len(SHARES) + 1))
+    down, share = np.divmod(rest, len(SHARES) + 1)
+    level = lambda v, n: v[:, None] >= np.arange(1, n + 1)[None]
+    return np.concatenate([level(up, len(STEPS)), level(down, len(STEPS)), level(share, len(SHARES))], axis=1).astype(float)
+
+
+PAST = _past()
+
+
+def features(counts: np.ndarray, n_words: int) -> np.ndarray:
+    """A row for each judge of counts[judge, words or pairs, code]."""
+    past = counts @ PAST
+    few = past[:, :, :4] / max(1, n_words)
+    return np.concatenate([np.log1p(past).reshape(len(past), -1), np.sqrt(few).reshape(len(past), -1), np.full((len(past), 1), math.log(max(1, n_words)))], axis=1)
+
+
+@dataclass
+class Dictionaries:
+    """Content of an ordinary and a toxic dictionary of words, the same of pairs of words and of long runs."""
+
+    words: tuple[bytes, bytes]
+    pairs: tuple[bytes, bytes]
+    runs: tuple[bytes, bytes]
+
+
+class Distances:
+    """Distances of windows for each two dictionaries: words as they come, pairs once."""
+
+    def __init__(self, trained: list[Dictionaries], known: dict[tuple[bytes, bytes], bytes]):
+        self.words, self.runs = ([getattr(d, kind) for d in trained] for kind in ("words", "runs"))
+        self.compressors = {c: compressor(c) for two in self.words + self.runs for c in two}
+        self.least = len(compressor(b"").compress(PAD))
+        self.judges = len(trained)
+        names = sorted(set(chain.from_iterable(known)))
+        self.code = {w: i + 1 for i, w in enumerate(names)}
+        self.width = len(names) + 1
+        coded = np.array([self.code[v] * self.width + self.code[w] for v, w in known], np.int64)
+        order = np.argsort(coded)
+        self.pairs, spelt = coded[order], list(known.values())
+        self.pair_codes = self._codes([d.pairs for d in trained], [spelt[i] for i in order]) + CODES
         self._clear()
 
     def _clear(self) -> None:
         self.tokens: dict[bytes, int] = {}
         self.windows: dict[bytes, int] = {}
-        self.steps = np.zeros((1024, len(self.compressors) - 1), np.int64)
-        self.codes = np.zeros(1024, np.int64)
-        self.phrases: dict[tuple[int, bytes], int] = {}
-
-    def _phrase(self, k: int, w: bytes) -> int:
-        if (k, w) not in self.phrases:
-            saved = len(self.compressors[0].compress(w + PAD)) - len(self.compressors[1 + k].compress(w + PAD))
-            self.phrases[k, w] = int(np.searchsorted(PHRASE_STEPS, saved, side="right"))
-        return self.phrases[k, w]
-
-    def of(self, texts: list[str]) -> list[tuple[np.ndarray, list[np.ndarray]]]:
-        """For each text, windows of one word by toxic dictionaries, and for each of those the windows of several words."""
+        self.steps = np.zeros((1024, self.judges), np.int32)
+        self.names = np.zeros(1024, np.int64)
+
+    def _codes(self, trained: list[tuple[bytes, bytes]], made: list[bytes]) -> np.ndarray:
+        """By window and judge; what several judges share is compressed once."""
+        padded = [w + PAD for w in made]
+        sizes = {}
+        for content in {c for two in trained for c in two}:
+            compress = (self.compressors.get(content) or compressor(content)).compress
+            sizes[content] = np.fromiter((len(compress(w)) for w in padded), np.int64, len(padded))
+        return np.array([step_codes(sizes[a], sizes[b], self.least) for a, b in trained], np.int32).reshape(len(trained), len(made)).T
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text, its features by judge."""
         cut = [tokens(t) for t in texts]
         here = set().union(*cut)
-        if len(self.tokens) + len(here) + len(self.phrases) > CACHE_WINDOWS:
+        if len(self.tokens) + len(here) > CACHE_WINDOWS:
             self._clear()
         new = list(here - self.tokens.keys())
         made = list(map(window, new))
-        fresh = list(set(made) - self.windows.keys())
+        fresh = sorted(set(made) - self.windows.keys(), key=is_run)
         if fresh:
-            sizes = np.array([[len(c.compress(w + PAD)) for w in fresh] for c in self.compressors], np.int64)
             at = len(self.windows)
             while at + len(fresh) > len(self.steps):
                 self.steps = np.concatenate([self.steps, np.zeros_like(self.steps)])
-                self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
-            self.steps[at : at + len(fresh)] = np.searchsorted(STEPS, (sizes[0] - sizes[1:]).T, side="right")
-            self.codes[at : at + len(fresh)] = [self.several.code.get(w, 0) for w in fresh]
+                self.names = np.concatenate([self.names, np.zeros_like(self.names)])
+            short = len(fresh) - sum(map(is_run, fresh))
+            self.steps[at : at + short] = self._codes(self.words, fresh[:short])
+            self.steps[at + short : at + len(fresh)] = self._codes(self.runs, fresh[short:])
+            self.names[at : at + len(fresh)] = [self.code.get(w, 0) for w in fresh]
             self.windows.update(zip(fresh, range(at, at + len(fresh)), strict=True))
         self.tokens.update(zip(new, map(self.windows.__getitem__, made), strict=True))
         get = self.tokens.__getitem__
+        shift = 2 * CODES * np.arange(self.judges)
         out = []
         for t in cut:
             at = np.fromiter(map(get, t), np.int64, len(t))
-            runs = self.several.of(self.codes[at])
-            out.append((self.steps[at], [np.array([self._phrase(k, w) for w in r], np.int64) for k, r in enumerate(runs)]))
+            codes = [(self.steps[at] + shift).ravel()]
+            v = self.names[at]
+            p = v[:-1] * self.width + v[1:]
+            p = p[(v[:-1] > 0) & (v[1:] > 0)]
+            if len(p) and len(self.pairs):
+                j = np.minimum(np.searchsorted(self.pairs, p), len(self.pairs) - 1)
+                codes.append((self.pair_codes[j[self.pairs[j] == p]] + shift).ravel())
+            counts = np.bincount(np.concatenate(codes), minlength=2 * CODES * self.judges).reshape(self.judges, 2, CODES)
+            out.append(features(counts, len(t)))
         return out
 
 
 @dataclass
 class Judge:
-    """A toxic dictionary with the logistic model of its distances."""
+    """Dictionaries with the logistic model of their distances."""
 
-    toxic: bytes
-    pairs: list[tuple[bytes, bytes]]
+    trained: Dictionaries
     low: np.ndarray  # features beyond what was calibrated count as its ends
     high: np.ndarray
     mean: np.ndarray
@@ -273,20 +263,20 @@ class Judge:
 
 @dataclass
 class Model:
-    ordinary: bytes
+    known: dict[tuple[bytes, bytes], bytes]
     judges: list[Judge]
     share: float
 
     def distances(self) -> Distances:
-        return Distances(self.ordinary, [j.toxic for j in self.judges], [j.pairs for j in self.judges])
+        return Distances([j.trained for j in self.judges], self.known)
 
     def scores(self, texts: list[str], distances: Distances | None = None) -> list[float]:
         if not self.judges:
             return [self.share] * len(texts)
         distances = distances or self.distances()
         out = []
-        for steps, phrases in distances.of(texts):
-            v = sum(j.logit(features(steps[:, k], phrases[k])) for k, j in enumerate(self.judges)) / len(self.judges)
+        for x in distances.of(texts):
+            v = sum(j.logit(x[k]) for k, j in enumerate(self.judges)) / len(self.judges)
             out.append(1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, v)))))
         return out
 
@@ -301,56 +291,30 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndar
     return mean, scale, w
 
 
-def _ordinary(texts: list[str], toxic: list[int]) -> bytes:
-    mine = [x for x, t in zip(texts, toxic, strict=True) if not t]
-    step = max(1, sum(len(tokens(x)) for x in mine) // 200_000)
-    return _trained(list(islice(chain.from_iterable(map(windows, mine)), 0, None, step)), DICT_BYTES)
-
-
-def _toxic(texts: list[str], toxic: list[int], base: bytes) -> tuple[bytes, list[tuple[bytes, bytes]]]:
-    """The ordinary content with what is trained on the windows that mark toxic rows off, and the pairs that make windows of several words."""
-    found = marks(texts, toxic)
-    strings = set(found)
-    pairs = word_pairs(texts, toxic, strings)
-    content = base
-    if pairs:
-        several = Phrases([pairs])
-        runs = []
-        for x, t in zip(texts, toxic, strict=True):
-            if t:
-                runs += several.of(np.array([several.code.get(w, 0) for w in windows(x)], np.int64))[0]
-        trained = _trained([b"".join(runs[i : i + 4]) for i in range(0, len(runs), 4)], DICT_BYTES, 32, 6)
-        content += trained + b"".join(p for p in map(phrase, pairs) if p not in trained)
-    if not found:
-        return content, pairs
-    inside = {w for w in set().union(*(windows(x) for x, t in zip(texts, toxic, strict=True) if t)) if holds(w, strings)}
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for x, t in zip(texts, toxic, strict=True):
-        seen[t].update(inside & set(windows(x)))
-    rate = max(1, len(toxic) - sum(toxic)) / max(1, sum(toxic))
-    marked = {w for w in inside if seen[1][w] * rate > 4 * seen[0][w]}
-    holding = [around(w, strings) for x, t in zip(texts, toxic, strict=True) if t for w in windows(x) if w in marked]
-    trained = _trained([b"".join(holding[i : i + 8]) for i in range(0, len(holding), 8)], DICT_BYTES, 32, 6)
-    # what the trainer left out follows, the strongest marks last, where offsets are shortest
-    return content + trained + b"".join(m for m in reversed(found) if m not in trained), pairs
-
-
 def fit(texts: list[str], toxic: list[int], counts: tuple[int, int]) -> Model:
     """counts: ordinary and toxic labels of all rows that may be learned from."""
     share = counts[1] / max(1, sum(counts))
     folds = np.array([zlib.crc32(x.encode("utf-8", "replace")) % FOLDS for x in texts])
-    y = np.array(toxic, int)
-    judges, base = [], _ordinary(texts, toxic)
-    for k in range(FOLDS):  # a judge is calibrated on the fold that its dictionaries have not seen
+    y, rows = np.array(toxic, int), Rows(texts)
+    ordinary = [i for i in range(len(y)) if not y[i]]
+    base = rows.base(ordinary)
+    words = rows.words(ordinary) + base
+    judges, parts, known = [], [], {}
+    for k in range(FOLDS):  # a judge is calibrated on the fold that its toxic dictionary has not seen
         seen, new = np.flatnonzero(folds != k), np.flatnonzero(folds == k)
         if len(set(y[seen])) < 2 or len(set(y[new])) < 2:
             continue
-        trained, pairs = _toxic([texts[i] for i in seen], [toxic[i] for i in seen], base)
-        x = np.array([features(steps[:, 0], phrases[0]) for steps, phrases in Distances(base, [trained], [pairs]).of([texts[i] for i in new])])
+        own = [[i for i in seen if y[i] == t] for t in (0, 1)]
+        pairs = [rows.pairs(o) for o in own]
+        spelt = tuple(b"".join(w[1:] for w in p.values()) + base for p in pairs)
+        parts.append((new, Dictionaries((words, rows.words(own[1]) + base), spelt, tuple(rows.runs(o) + base for o in own))))
+        known |= pairs[0] | pairs[1]
+    for new, trained in parts:
+        x = np.concatenate(Distances([trained], known).of([texts[i] for i in new]))
         n = np.bincount(y[new], minlength=2)
         weight = np.where(y[new] == 1, counts[1] / n[1], counts[0] / n[0])
-        judges.append(Judge(trained, pairs, x.min(0), x.max(0), *_logistic(x, y[new].astype(float), weight * len(new) / weight.sum())))
-    return Model(base, judges, share)
+        judges.append(Judge(trained, x.min(0), x.max(0), *_logistic(x, y[new].astype(float), weight * len(new) / weight.sum())))
+    return Model(known, judges, share)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -359,46 +323,53 @@ def held_out(id_col: str = "doc_id"):
 
 def fit_from_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Only rows outside the hold-out are learned from; a bounded number of texts reaches the driver."""
-    truth = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    truth = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in truth.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    by_hash = truth.withColumn("h", F.xxhash64(id_col))
+    by_hash = truth.withColumn("h", F.xxhash64("id"))
     chosen = None
     for t in (0, 1):
-        part = by_hash.where(F.col("toxic") == t).orderBy("h", id_col).limit(FIT_ROWS).select(id_col, "toxic")
+        part = by_hash.where(F.col("toxic") == t).orderBy("h", "id").limit(FIT_ROWS).select("id", "toxic")
         chosen = part if chosen is None else chosen.unionByName(part)
     text = F.coalesce(F.col(text_col), F.lit(""))
     # repeated ids may bring several texts; the bound on rows holds for those too
-    rows = docs.select(id_col, text.alias("__text")).join(F.broadcast(chosen), id_col).orderBy(F.xxhash64(id_col, "__text"), "__text").limit(2 * FIT_ROWS).collect()
-    return fit([r["__text"] for r in rows], [r["toxic"] for r in rows], (sizes.get(0, 0), sizes.get(1, 0)))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id", "text"), "text").limit(2 * FIT_ROWS).collect()
+    texts, toxic = [r["text"] for r in rows], [r["toxic"] for r in rows]
+    del rows
+    model = fit(texts, toxic, (sizes.get(0, 0), sizes.get(1, 0)))
+    del texts
+    give_back()
+    return model
 
 
-def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with a column score: every window of every text."""
+def score_documents(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """docs with a column of scores: every window of every text."""
     arrow_rows(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
 
     def score(batches):
         model = sent.value
         distances = model.distances()
         for b in batches:
-            scores = pa.array(model.scores([t or "" for t in b.column(text_col).to_pylist()], distances), pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns, scores], names=[*b.schema.names, "__score"])
+            scores = pa.array(model.scores([t or "" for t in b.column(at).to_pylist()], distances), pa.float64())
+            yield pa.RecordBatch.from_arrays([*b.columns, scores], names=[*b.schema.names, score_col])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
     return docs.mapInArrow(score, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted."""
     model = fit_from_labels(docs, labels, id_col, text_col)
-    scored = score_documents(docs.select(id_col, text_col), model, text_col)
-    return scored.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
+    scored = score_documents(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are not predicted toxic, with all their columns."""
     model = fit_from_labels(docs, labels, id_col, text_col)
-    return score_documents(docs, model, text_col).where(F.col("__score") < THRESHOLD).drop("__score")
+    score = free_name(docs, "score")
+    return score_documents(docs, model, text_col, score).where(F.col(score) < THRESHOLD).drop(score)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,10 +55,23 @@ def test_phrases_of_everyday_words():
     assert accuracy("phrase", 1000) > 0.95
 
 
-def test_runs_of_marked_pairs():
-    several = toxicity.Phrases([[(b" a ", b" b "), (b" b ", b" c ")], [(b" b ", b" c ")]])
-    of = lambda text: several.of(toxicity.np.array([several.code.get(w, 0) for w in toxicity.windows(text)], toxicity.np.int64))
-    assert of("x a b c x b c a") == [[b" a b c ", b" b c "], [b" b c ", b" b c "]]
-    assert of("") == of("a") == of("c b a") == [[], []]
-    long = toxicity.Phrases([[(b" a ", b" a ")]]).of(toxicity.np.ones(20, toxicity.np.int64))[0]
-    assert [w.count(b"a") for w in long] == [8, 8, 6]
+def test_pairs_of_adjacent_words():
+    """Windows of two words: the known ones, where the words are neighbours."""
+    one = toxicity.Dictionaries((b"", b""), (b"", b"wicked goblin "), (b"", b""))
+    distances = toxicity.Distances([one], {(b" wicked ", b" goblin "): b" wicked goblin "})
+    x = distances.of(["a wicked goblin", "a goblin wicked", "wicked", ""])
+    few = len(toxicity.STEPS) * 2 + len(toxicity.SHARES)
+    pairs = [v[0][few : 2 * few].any() for v in x]
+    assert pairs == [True, False, False, False]
+
+
+def test_the_dictionaries_decide():
+    """With the two dictionaries exchanged, marked windows cost more instead of less."""
+    train = rows("lexicon", 2000, 1)
+    model = toxicity.fit([t for t, _ in train], [y for _, y in train], (2000, 2000))
+    texts = [t for t, y in rows("lexicon", 100, 2) if y]
+    before = model.scores(texts)
+    for j in model.judges:
+        j.trained = toxicity.Dictionaries(j.trained.words[::-1], j.trained.pairs[::-1], j.trained.runs[::-1])
+    after = model.scores(texts)
+    assert sum(a < b for a, b in zip(after, before, strict=True)) > 95

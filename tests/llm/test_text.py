@@ -174,7 +174,7 @@ def test_bpe_code_points():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(bpe.public_vocabulary())
-    voc = bpe.vocabulary(bpe.public_vocabulary())
+    voc = bpe.Vocabulary(bpe.public_vocabulary())
     enc = bpe.Encoder(voc, None)
     rng = random.Random(1)
     points = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000]
@@ -194,7 +194,7 @@ def test_lexicon_is_minimal():
 
 
 def test_merge_long_and_short():
-    voc = bpe.vocabulary(bpe.public_vocabulary())
+    voc = bpe.Vocabulary(bpe.public_vocabulary())
     rng = random.Random(2)
     for _ in range(200):
         w = "".join(rng.choice("abcdeth é日") for _ in range(rng.randint(1, 60))).encode()
@@ -222,8 +222,8 @@ def test_toxicity(spark):
     held = [r for r in got if r["held_out"] and r["toxic"] is not None]
     assert len(held) > 80 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in got)
     assert sum(r["predicted"] == r["toxic"] for r in held) / len(held) > 0.95
-    kept = toxicity.drop_toxic(more.withColumn("score", F.lit(1)), labels)
-    assert kept.columns == ["doc_id", "text", "score"] and kept.where("doc_id = 7001").count() == 1
+    kept = toxicity.drop_toxic(more.withColumn("score", F.lit(1)).withColumn("__score", F.lit(2)).withColumn("held_out", F.lit(3)), labels)
+    assert kept.columns == ["doc_id", "text", "score", "__score", "held_out"] and kept.where("doc_id = 7001").count() == 1
 
 
 def test_toxicity_without_labels(spark):
