@@ -19,8 +19,10 @@ import json
 import mmap
 import re as stdre
 import tempfile
+from array import array
 from collections import Counter
-from itertools import pairwise
+from collections.abc import Iterable
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +30,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SharedFiles, arrow_rows, local_path, new_dir, table
+from .common import SharedFiles, arrow_rows, give_back, local_path, new_dir, table
 
 #: Most words that the lexicon holds; the rest are merged as they come.
 LEXICON_WORDS = 300_000
 #: Words of a lexicon are at most so many bytes.
 LEXICON_BYTES = 48
 #: Distinct words counted before a task hands its counts on.
-COUNT_WORDS = 400_000
-#: Resolved words that a task remembers.
-CACHE_WORDS = 600_000
+COUNT_WORDS = 200_000
+#: Bytes of words and ids that a task remembers, in each of two generations; of a word that it remembers, at most; and what a word takes beside its characters.
+CACHE_BYTES, CACHED_WORD, WORD_BYTES = 24 << 20, 256, 200
 #: Splits a text as the byte-level vocabulary does (fixed values: white space as its matcher has it).
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
@@ -141,73 +143,49 @@ class Vocabulary:
                 yield None, self.words(part)
 
 
-class _Node:
-    __slots__ = ("final", "edges", "count", "number")
+def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
+    """A minimal acyclic automaton of sorted words, suffixes shared, as one flat file.
 
-    def __init__(self):
-        self.final, self.edges, self.count, self.number = False, {}, 0, -1
+    Finished nodes are numbers, children before parents; only the path of the last word is open."""
+    register: dict[bytes, int] = {}  # final and edges of a node -> its number
+    final, accepted, edge, target, skipped = array("i"), array("i"), array("i"), array("i"), array("i")
+    path: list[tuple[list[bool], list[tuple[int, int]]]] = [([False], [])]
+    last = b""
 
-
-def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
-    """A minimal acyclic automaton of sorted words, suffixes shared, as one flat file."""
-    register: dict[tuple, _Node] = {}
-    root = _Node()
-    path: list[tuple[_Node, int, _Node]] = []
+    def close() -> int:
+        (is_final,), edges = path.pop()
+        sign = array("i", [is_final, *chain.from_iterable(edges)]).tobytes()
+        if sign not in register:
+            n = register[sign] = len(final)
+            passed = int(is_final)
+            for byte, child in edges:
+                edge.append(256 * n + byte)
+                target.append(child)
+                skipped.append(passed)
+                passed += accepted[child]
+            final.append(is_final)
+            accepted.append(passed)
+        return register[sign]
 
     def freeze(down_to: int) -> None:
-        while len(path) > down_to:
-            parent, byte, child = path.pop()
-            sign = (child.final, tuple((b, id(n)) for b, n in child.edges.items()))
-            parent.edges[byte] = register.setdefault(sign, child)
+        while len(path) > down_to + 1:
+            byte = last[len(path) - 2]
+            path[-2][1].append((byte, close()))
 
-    last = b""
     order = sorted(words)
     for word in order:
-        common = next((i for i, (a, b) in enumerate(zip(last, word, strict=False)) if a != b), min(len(last), len(word)))
-        freeze(common)
-        node = path[-1][2] if path else root
-        for byte in word[common:]:
-            child = _Node()
-            node.edges[byte] = child
-            path.append((node, byte, child))
-            node = child
-        node.final = True
+        freeze(next((i for i, (a, b) in enumerate(zip(last, word, strict=False)) if a != b), min(len(last), len(word))))
+        while len(path) <= len(word):
+            path.append(([False], []))
+        path[-1][0][0] = True
         last = word
     freeze(0)
-    nodes: list[_Node] = []
-
-    def visit(top: _Node) -> None:  # children first, for the counts of accepted words
-        stack = [(top, iter(top.edges.values()))]
-        top.number = -2
-        while stack:
-            node, rest = stack[-1]
-            for child in rest:
-                if child.number == -1:
-                    child.number = -2
-                    stack.append((child, iter(child.edges.values())))
-                    break
-            else:
-                stack.pop()
-                node.count = node.final + sum(c.count for c in node.edges.values())
-                node.number = len(nodes)
-                nodes.append(node)
-
-    visit(root)
-    final = np.array([n.final for n in nodes], np.int32)
-    edge, target, skipped = [], [], []
-    for i, node in enumerate(nodes):
-        passed = int(node.final)
-        for byte in sorted(node.edges):
-            child = node.edges[byte]
-            edge.append(256 * i + byte)
-            target.append(child.number)
-            skipped.append(passed)
-            passed += child.count
+    root = close()
     start = np.zeros(len(order) + 1, np.int32)
     start[1:] = np.cumsum([len(words[w]) for w in order])
     flat = np.array([i for w in order for i in words[w]], np.int32)
-    arrays = [final, np.array(edge, np.int32), np.array(target, np.int32), np.array(skipped, np.int32), start, flat]
-    head = np.array([len(nodes) - 1, *(len(a) for a in arrays)], np.int32)
+    arrays = [final, edge, target, skipped, start, flat]
+    head = np.array([root, *(len(a) for a in arrays)], np.int32)
     return b"".join(a.tobytes() for a in [head, *arrays])
 
 
@@ -254,42 +232,70 @@ class Lexicon:
         return out
 
 
+class Words(dict):
+    """word -> its ids, written out; remembers words in two generations of bounded bytes: the older one is
+    forgotten, but for words met again, when the younger one is full."""
+
+    def __init__(self, limit: int = CACHE_BYTES):
+        self.limit, self.size, self.old = limit, 0, {}
+
+    def missing(self, words: set[str]) -> list[str]:
+        """Which words are in neither generation; those of the older one come back."""
+        new = words - self.keys()
+        for w in new & self.old.keys():
+            self.put(w, self.old[w])
+        return list(new - self.old.keys())
+
+    def put(self, word: str, ids: str) -> None:
+        self[word] = ids
+        self.size += len(word) + len(ids) + WORD_BYTES
+
+    def forget(self, words: Iterable[str]) -> None:
+        for w in words:
+            self.size -= len(w) + len(self.pop(w)) + WORD_BYTES
+
+    def age(self) -> None:
+        if self.size > self.limit:
+            self.old = dict(self)
+            self.clear()
+            self.size = 0
+
+
 class Encoder:
-    """Texts to ids by the lexicon, and by merging words that it lacks; remembers a bounded number of words.
+    """Texts to ids by the lexicon, and by merging words that it lacks; remembers a bounded number of bytes.
 
-    Of a word it keeps its ids, written out, and the bytes that those ids decode to."""
+    A resolved word's ids are spelt at once: where they decode to its own bytes, a text's decoding has those; the others are kept apart."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.names = {i: str(i) for i in vocabulary.bytes}
-        self.ids: dict[str, str] = {}
-        self.bytes: dict[str, bytes] = {}
-        self.rare: list[str] = []  # merged words, forgotten first: they seldom come again
+        self.ids = Words()
+        self.odd: dict[str, bytes] = {}
 
     def _resolve(self, words: list[str]) -> None:
         raw = [w.encode() for w in words]
         found = self.lexicon.get([r if len(r) <= LEXICON_BYTES else b"" for r in raw]) if self.lexicon else [None] * len(raw)
-        merge, name, spelt = self.vocabulary.merge, self.names.__getitem__, self.vocabulary.bytes.__getitem__
+        merge, name, spelt, put = self.vocabulary.merge, self.names.__getitem__, self.vocabulary.bytes.__getitem__, self.ids.put
         for w, r, ids in zip(words, raw, found, strict=True):
             if ids is None:
                 ids = merge(r)
-                self.rare.append(w)
-            self.ids[w] = ",".join(map(name, ids))
-            self.bytes[w] = b"".join(map(spelt, ids))
+            put(w, ",".join(map(name, ids)))
+            if (back := b"".join(map(spelt, ids))) != r:
+                self.odd[w] = back
 
     def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
         """Ids joined by commas, and the bytes that they decode to."""
         cut = [list(self.vocabulary.sections(t)) for t in texts]
         here = set().union(*(words for sections in cut for _, words in sections))
-        if len(self.ids) + len(here) > CACHE_WORDS:
-            for w in self.rare:
-                del self.ids[w], self.bytes[w]
-            self.rare = []
-        self._resolve(list(here - self.ids.keys()))
-        ids, raw, out = self.ids.__getitem__, self.bytes.__getitem__, []
-        for sections in cut:
-            spans = [(self.names[special], self.vocabulary.bytes[special]) if special is not None else (",".join(map(ids, words)), b"".join(map(raw, words))) for special, words in sections]
-            out.append(spans[0] if len(spans) == 1 else (",".join(s for s, _ in spans), b"".join(b for _, b in spans)))
+        self._resolve(self.ids.missing(here))
+        ids, out = self.ids.__getitem__, []
+        for text, sections in zip(texts, cut, strict=True):
+            parts = [self.names[special] if special is not None else ",".join(map(ids, words)) for special, words in sections]
+            raw = b"".join(self.vocabulary.bytes[special] if special is not None else b"".join(self.odd.get(w) or w.encode() for w in words) for special, words in sections) if self.odd else text.encode()
+            out.append((parts[0] if len(parts) == 1 else ",".join(parts), raw))
+        self.ids.forget({*self.odd, *(w for w in here if len(w) > CACHED_WORD)})
+        self.odd = {}
+        self.ids.age()
         return out
 
 
@@ -297,22 +303,11 @@ def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
     return b"".join(map(vocabulary.bytes.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
-_loaded: dict[str, Vocabulary] = {}
-_encoders: dict[tuple, Encoder] = {}
-
-
-def vocabulary(path: str) -> Vocabulary:
-    """One a process."""
-    if path not in _loaded:
-        _loaded[path] = Vocabulary(path)
-    return _loaded[path]
-
-
 def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """word, n over all texts; a task hands its counts on before they outgrow its memory."""
 
     def count(batches):
-        voc, seen = vocabulary(path), Counter()
+        voc, seen = Vocabulary(path), Counter()
 
         def out():
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
@@ -334,8 +329,11 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: int = LEXICON_WORDS) -> bytes:
     """The compiled automaton of the most frequent words of docs: at most size words reach the driver."""
     top = count_words(docs, path, text_col).where("n > 1").orderBy(F.col("n").desc(), "word").limit(size).select("word").toArrow()
-    voc = vocabulary(path)
-    return compile_lexicon({w: voc.merge(w) for w in (x.encode() for x in top.column(0).to_pylist())})
+    voc = Vocabulary(path)
+    blob = compile_lexicon({w: voc.merge(w) for w in (x.encode() for x in top.column(0).to_pylist())})
+    del voc, top
+    give_back()
+    return blob
 
 
 def publish_lexicon(spark: SparkSession, blob: bytes):
@@ -356,15 +354,6 @@ def open_lexicon(shared: str | None, sent) -> Lexicon:
     return Lexicon(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
 
-def encoder(path: str, shared: str | None, sent) -> Encoder:
-    """One a process and lexicon, so a worker's later tasks know the words of its earlier ones."""
-    key = (path, shared, sent.id if hasattr(sent, "id") else id(sent))
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary(path), open_lexicon(shared, sent))
-    return _encoders[key]
-
-
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = LEXICON_WORDS, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids."""
     spark = docs.sparkSession
@@ -374,7 +363,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     schema = pa.schema(types if with_ids else types[:4])
 
     def encode(batches):
-        enc = encoder(path, shared, sent)
+        enc = Encoder(Vocabulary(path), open_lexicon(shared, sent))  # a task's own, gone with it
         for b in batches:
             cols: list[list] = [[], [], [], []]
             for ids, raw in enc.encode([t or "" for t in b.column(1).to_pylist()]):
