@@ -5,10 +5,12 @@ Of equal texts the row with the most code points in the original text stays, the
 smallest doc_id (null ids last), then, for repeated rows, any single one of them.
 The directory doubles while a bucket holds more distinct keys than its capacity; copies
 share one key, so a large group of copies never forces splits. What is still overfull at
-the largest depth is an overflow chain. An owner task takes whole buckets, that is ranges
-of keys, and compares the bytes of all texts whose key occurs more than once; different
-texts on one key become links of a chain. Copies are combined before they are shuffled.
-An empty table gives no rows; extra columns are ignored.
+the largest depth is an overflow chain. Texts whose key occurs more than once go to the owner
+of their bucket, a task that takes whole buckets, that is ranges of keys; copies are combined in
+parts on the way, so a hot text arrives in a few rows. The owner compares the bytes of what
+shares a key; different texts on one key become links of a chain. Which row stays and how many
+there are is read from that index. An empty table gives no rows; extra columns, whatever their
+names, are ignored; texts are compared whole, however long.
 """
 
 from __future__ import annotations
@@ -16,7 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_ascii_space, keep_one_row, materialize, small_side, text_or_empty
+from .common import drop_ascii_space, keep_one_row, materialize, n_shuffle, small_side, text_or_empty
+
+#: Parts in which the copies of a text are combined before their bucket's owner gets them.
+SALTS = 16
 
 
 def split_directory(cells: dict[int, int], max_depth: int, capacity: int) -> list[tuple[int, int, int]]:
@@ -47,43 +52,51 @@ def _cell(hash_bits: int, depth: int) -> Column:
     return F.shiftrightunsigned(F.col("key"), hash_bits - depth).cast("int")
 
 
-def build_index(spark: SparkSession, entries: DataFrame, docs: DataFrame, hash_bits: int, max_depth: int, capacity: int, text_col: str) -> DataFrame:
-    """bucket, key, chain, sha, group_size of every text whose key is not alone, on shared files."""
+def build_index(entries: DataFrame, docs: DataFrame, hash_bits: int, max_depth: int, capacity: int, text_col: str) -> DataFrame:
+    """bucket, key, chain, sha, group_size, n_chars, lo of every text whose key is not alone, on shared files.
+
+    Copies are combined in SALTS parts; a task then owns whole buckets, compares the bytes of what shares a key there
+    and chains the texts that differ. n_chars and lo, the complement of the id, are those of the row that stays."""
+    spark = docs.sparkSession
     depth = min(max_depth, hash_bits)
     keys = entries.groupBy("key").agg(F.count("*").alias("n"))
     cells = keys.groupBy(_cell(hash_bits, depth).alias("cell")).agg(F.count("*").alias("n")).collect()  # 2**depth rows at most
     buckets = split_directory({r["cell"]: r["n"] for r in cells}, depth, capacity)
     directory = spark.createDataFrame(buckets, "bucket int, first int, width int").select("bucket", F.explode(F.expr("sequence(first, first + width - 1)")).alias("cell"))
     shared = materialize(keys.where("n > 1").select("key"), "shared_keys")
-    norm = drop_ascii_space(text_or_empty(text_col))
-    texts = docs.select(norm.alias("norm")).withColumn("key", _key(F.col("norm"), hash_bits)).join(small_side(shared), "key", "left_semi")
-    owned = texts.withColumn("cell", _cell(hash_bits, depth)).join(F.broadcast(directory), "cell")
-    groups = owned.groupBy("bucket", "key", "norm").agg(F.count("*").alias("group_size"))  # compares the bytes
-    chained = groups.select("bucket", "key", "group_size", F.sha2("norm", 256).alias("sha"))
-    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("sha"))
-    return materialize(chained.withColumn("chain", chain).repartition("bucket").sortWithinPartitions("bucket", "key", "chain"), "index")
+    text = text_or_empty(text_col)
+    rows = docs.select(F.bitwise_not(F.col("doc_id")).alias("lo"), F.length(text).cast("long").alias("n_chars"), drop_ascii_space(text).alias("norm"))
+    rows = rows.withColumn("key", _key(F.col("norm"), hash_bits)).join(small_side(shared), "key", "left_semi")
+    owned = rows.withColumn("cell", _cell(hash_bits, depth)).join(F.broadcast(directory), "cell")
+    # ~x falls as x grows and cannot overflow; a null orders below every number
+    best = lambda n: [F.sum(n).alias("n"), F.max(F.struct("n_chars", "lo")).alias("best")]
+    parts = owned.groupBy("bucket", "key", "norm", F.pmod(F.xxhash64("lo"), F.lit(SALTS)).alias("salt")).agg(*best(F.lit(1)))
+    parts = parts.select("bucket", "key", "norm", "n", "best.*").repartition(n_shuffle(spark), "bucket")
+    groups = parts.groupBy("bucket", "key", "norm").agg(*best(F.col("n")))
+    sha = groups.select("bucket", "key", F.sha2("norm", 256).alias("sha"), F.col("n").alias("group_size"), "best.*")
+    chain = Window.partitionBy("bucket", "key").orderBy("sha")
+    linked = sha.withColumn("chain", F.row_number().over(chain)).withColumn("before", F.lag("sha").over(chain))
+    # links of a chain differ in their bytes; should two have one SHA-256, never merge them silently
+    same = F.when(F.col("before") == F.col("sha"), F.raise_error(F.lit("different texts share a SHA-256")).cast("string")).otherwise(F.col("sha"))
+    return materialize(linked.select("bucket", "key", "chain", same.alias("sha"), "group_size", "n_chars", "lo"), "index")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64, max_depth: int = 16, capacity: int = 4096) -> DataFrame:
     """One row a document: doc_id, keep_id, group_size, kept, text_sha256, n_chars."""
-    spark = docs.sparkSession
+    docs, text_col = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text"
     text = text_or_empty(text_col)
     entries = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), F.length(text).cast("long").alias("n_chars"), drop_ascii_space(text).alias("norm")).select(
+        docs.select("doc_id", F.length(text).cast("long").alias("n_chars"), drop_ascii_space(text).alias("norm")).select(
             "doc_id", "n_chars", _key(F.col("norm"), hash_bits).alias("key"), F.sha2("norm", 256).alias("sha"), F.monotonically_increasing_id().alias("tie")
         ),
         "entries",
     )
-    index = build_index(spark, entries, docs, hash_bits, max_depth, capacity, text_col)
-    # ~x falls as x grows and cannot overflow; a null orders below every number.
-    best = entries.groupBy("key", "sha").agg(F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("lo"), F.bitwise_not("tie").alias("first"))).alias("best"), F.count("*").alias("n")).where("n > 1")
-    keep = best.join(index.select("key", "sha", "group_size"), ["key", "sha"]).select(
-        "key", "sha", F.bitwise_not("best.lo").alias("keep_id"), F.bitwise_not("best.first").alias("keep_tie"),
-        # the counts differ only if two texts share a SHA-256; never merge them silently
-        F.when(F.col("group_size") == F.col("n"), F.col("n")).otherwise(F.raise_error(F.lit("different texts share a SHA-256")).cast("long")).alias("group_size"),
-    )
-    keep = materialize(keep, "keep")
-    joined = entries.join(small_side(keep), ["key", "sha"], "left")
+    index = build_index(entries, docs, hash_bits, max_depth, capacity, text_col)
+    groups = materialize(index.where("group_size > 1").select("key", "sha", "group_size", F.bitwise_not("lo").alias("keep_id"), F.col("n_chars").alias("keep_chars")), "groups")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))
+    # repeated rows share id and text: the first of them stays
+    first = materialize(entries.join(small_side(groups), ["key", "sha"]).where(stays).groupBy("key", "sha", "group_size", "keep_id").agg(F.min("tie").alias("keep_tie")), "first")
+    joined = entries.join(small_side(first), ["key", "sha"], "left")
     single = F.col("group_size").isNull()
     return joined.select(
         "doc_id",

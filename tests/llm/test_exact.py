@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from cytoplan.llm import chat, exact_dedup, secrets, sharding, warc
+from cytoplan.llm import chat, exact_dedup, jaccard, secrets, sharding, warc
 from cytoplan.llm.common import new_dir
 
 SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -150,3 +150,20 @@ def test_warc_streams():
     assert [r for _, r in warc.records(warc.inflate(io.BytesIO(many)))] == raw
     with pytest.raises(ValueError):
         list(warc.records(iter([raw[2][:-10]])))
+
+
+def test_exact_dedup_result_comes_from_the_index(spark, monkeypatch):
+    """A wrong group in the index is a wrong group in the result."""
+    docs = spark.createDataFrame([(1, "a b"), (2, "ab"), (3, "c")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in exact_dedup.exact_dedup(docs).collect()) == [(1, 1, 2), (2, 1, 2), (3, 3, 1)]
+    build = exact_dedup.build_index
+    monkeypatch.setattr(exact_dedup, "build_index", lambda *a: build(*a).withColumn("group_size", F.lit(7).cast("long")).withColumn("lo", F.bitwise_not(F.lit(2).cast("long"))).withColumn("n_chars", F.lit(2).cast("long")))
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in exact_dedup.exact_dedup(docs).collect()) == [(1, 2, 7), (2, 2, 7), (3, 3, 1)]
+
+
+def test_kept_rows_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b", 1, 2, 3), (1, "a b", 1, 2, 3), (2, "ab", 4, 5, 6)], "doc_id long, text string, __key int, key int, key_of_row int")
+    kept = exact_dedup.keep_first_copies(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "a b", 1, 2, 3)]
+    near = jaccard.keep_one_each(docs)
+    assert near.columns == docs.columns and sorted(r["doc_id"] for r in near.collect()) == [1, 2]
