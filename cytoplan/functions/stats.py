@@ -93,6 +93,10 @@ def nb_exact_p(a: int, b: int, size_a: float, size_b: float, mean: float, phi: f
     return float(min(1.0, w[w <= w[a] * (1 + 1e-9)].sum() / w.sum()))
 
 
+#: Standard deviations by which the Turing estimate must differ from the fit to be used (fixed value).
+TURING_SPREADS = 1.65
+
+
 def good_turing(counts: dict[int, int]) -> dict[int, float]:
     """Simple Good-Turing adjusted counts for a table of frequency -> how many; key 0 has the unseen mass."""
     r = np.array(sorted(counts), float)
@@ -105,22 +109,18 @@ def good_turing(counts: dict[int, int]) -> dict[int, float]:
         gap[i] = 2 * n[i] / (high - low)
     x, y = np.log(r), np.log(gap)
     slope = ((x - x.mean()) * (y - y.mean())).sum() / max(((x - x.mean()) ** 2).sum(), 1e-12)
-    if slope > -1:
-        raise ValueError("the slope of the frequencies of frequencies is above -1")
-    smooth = lambda v: math.exp(y.mean() + slope * (math.log(v) - x.mean()))
-    out, turing = np.empty(len(r)), True
-    for i in range(len(r)):
-        fit = (r[i] + 1) * smooth(r[i] + 1) / smooth(r[i])
-        nxt = counts.get(int(r[i]) + 1)
-        if turing and nxt:
-            raw = (r[i] + 1) * nxt / n[i]
-            spread = 1.96 * math.sqrt((r[i] + 1) ** 2 * nxt / n[i] ** 2 * (1 + nxt / n[i]))
-            turing = abs(raw - fit) > spread
-            out[i] = raw if turing else fit
-        else:
-            turing, out[i] = False, fit
-    unseen = counts.get(1, 0) / total
-    scale = (1 - unseen) / (out * n).sum()
+    slope = min(slope, -1.0)  # above -1 the fit does not apply; at -1 it leaves the counts as they are
+    fitted = (1 + 1 / r) ** (slope + 1)  # adjusted over raw count
+    follows = np.append(r[1:] == r[:-1] + 1, False)
+    after = np.where(follows, np.append(n[1:], 0.0), 0.0)
+    turing = (r + 1) / r * after / n
+    place = np.arange(1, len(r) + 1)
+    spread = np.where(follows, (place + 1) / n * np.sqrt(after * (1 + after / n)), 1.0)
+    far = np.abs(fitted - turing) * place / spread > TURING_SPREADS
+    first = int(np.argmin(np.append(far, False)))  # from here on the fit holds
+    out = r * np.where(np.arange(len(r)) < first, turing, fitted)
+    unseen = float(n[0] / total)
+    scale = (1 - unseen) / (out * n).sum() if (out * n).sum() else 0.0
     return {0: unseen} | {int(a): float(b * scale) for a, b in zip(r, out, strict=True)}
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -68,10 +70,14 @@ def gradient_cutoff(totals: DataFrame, low_rank: int, high_rank: int) -> DataFra
     return r.join(F.broadcast(best.withColumnRenamed("rank", "cut")), F.col("rank") <= F.col("cut")).select("barcode", "total", "rank")
 
 
-def ambient_test(coo: DataFrame, totals: DataFrame, low: int, high: int, candidates: DataFrame, sims: int = 1000, seed: int = 0) -> DataFrame:
+#: Simulations that a task runs.
+SIM_BLOCK = 500
+
+
+def ambient_test(coo: DataFrame, totals: DataFrame, low: int, high: int, candidates: DataFrame, sims: int = 10_000, seed: int = 0) -> DataFrame:
     """Barcodes unlike the ambient profile of ranks [low, high): Monte Carlo p over distinct totals, adjusted.
 
-    The profile has one row a feature and is smoothed by Good-Turing; simulations run a block of totals a task."""
+    The profile has one row a feature and is smoothed by Good-Turing; a task runs a block of simulations for all totals."""
     spark = coo.sparkSession
     ranks = barcode_ranks(totals)
     ambient = coo.join(ranks.where(f"rank >= {low} and rank < {high}").select("barcode"), "barcode", "left_semi").groupBy("feature").agg(F.sum("umi_count").alias("n"))
@@ -96,19 +102,38 @@ def ambient_test(coo: DataFrame, totals: DataFrame, low: int, high: int, candida
 
     obs = x.groupBy("barcode").agg(F.sum("umi_count").alias("total"), F.sum(F.col("umi_count") * F.col("logp") - lgamma1("umi_count")).alias("part"))
     sent = spark.sparkContext.broadcast(p)
+    totals_seen = obs.select("total").distinct()
 
     def simulate(batches):
+        """A running draw serves all totals: the k-th draw of a feature as the i-th of all adds log p + log i - log k."""
         p = sent.value
+        cut, logp = np.cumsum(p) / p.sum(), np.log(p)
         for pdf in batches:
-            rows = []
-            for t in pdf["total"]:
-                rng = np.random.default_rng([seed, int(t)])
-                draws = rng.multinomial(int(t), p, size=sims)
-                rows.append((int(t), np.sort((draws * np.log(p) - K.log_gamma(draws + 1.0)).sum(1)).tolist()))
-            yield pd.DataFrame(rows, columns=["total", "null"])
-
-    null = obs.select("total").distinct().mapInPandas(simulate, "total long, null array<double>")
-    both = obs.join(null, "total").withColumn("p", (1 + F.size(F.filter("null", lambda v: v < F.col("part")))) / F.lit(1.0 + sims)).withColumn("one", F.lit(1))
+            for block, wanted in zip(pdf["block"], pdf["totals"], strict=True):
+                rng = np.random.default_rng([seed, int(block)])
+                at = np.asarray(wanted, int)
+                most, steps = int(at.max()), np.log(np.arange(1, int(at.max()) + 1))
+                null = np.empty((SIM_BLOCK, len(at)))
+                for i in range(SIM_BLOCK):
+                    z = np.minimum(np.searchsorted(cut, rng.random(most), side="right"), len(p) - 1)
+                    order = np.argsort(z, kind="stable")
+                    heads = np.flatnonzero(np.diff(z[order], prepend=-1))
+                    met = np.empty(most, int)
+                    met[order] = np.arange(most) - np.repeat(heads, np.diff(np.append(heads, most)))
+                    null[i] = np.cumsum(logp[z] + steps - steps[met])[at - 1]
+                yield pd.DataFrame({"total": at, "null": np.sort(null, 0).T.tolist()})
+
+    @F.pandas_udf("long")
+    def below(value: pd.Series, null: pd.Series) -> pd.Series:
+        return pd.Series([int(np.searchsorted(n, v)) for v, n in zip(value, null, strict=True)])
+
+    blocks = -(-sims // SIM_BLOCK)
+    asked = totals_seen.agg(F.sort_array(F.collect_set("total")).alias("totals")).where("size(totals) > 0")  # distinct totals only
+    asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "totals").repartition(blocks, "block")
+    null = asked.mapInPandas(simulate, "total long, null array<double>")
+    full = obs.withColumn("value", F.col("part") + lgamma1("total"))
+    met = full.join(null, "total").withColumn("lower", below("value", "null")).groupBy("barcode", "total").agg(F.sum("lower").alias("lower"))
+    both = met.withColumn("p", (1 + F.col("lower")) / F.lit(1.0 + blocks * SIM_BLOCK)).withColumn("one", F.lit(1))
     return both.select("barcode", "total", "p", K.bh_adjusted(F.col("p"), ["one"], "barcode").alias("p_adjusted"))
 
 
@@ -162,13 +187,39 @@ def depth_grid(most: int, n: int) -> list[int]:
     return sorted({int(x) for x in np.linspace(0, most, n + 1).round()} - {0})
 
 
+def binomial_quantiles(u: np.ndarray, n: np.ndarray, p: float) -> np.ndarray:
+    """The binomial count at each u: never falls as p grows, so draws at several depths are nested."""
+    if p >= 1:
+        return n
+    out = np.zeros(len(n), np.int64)
+    order = np.argsort(n, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(n[order])) + 1) if len(n) else ():
+        m = int(n[part[0]])
+        if m > 0 and p > 0:
+            k = np.arange(m + 1)
+            logs = math.lgamma(m + 1) - K.log_gamma(k + 1.0) - K.log_gamma(m - k + 1.0) + k * math.log(p) + (m - k) * math.log1p(-p)
+            out[part] = np.minimum(np.searchsorted(np.cumsum(np.exp(logs)), u[part], side="left"), m)
+    return out
+
+
 def subsample_curve(mol: DataFrame, depths: list[float], seed: int = 0) -> DataFrame:
-    """Per depth: reads, molecules, median molecules and features of barcodes, duplicate fraction; one scan for all depths."""
-    rows = mol.withColumn("depth", F.explode(F.array(*(F.lit(float(d)) for d in depths)))).withColumn("key", F.xxhash64("barcode", "feature", "umi", "library", "gem_group", "reads", F.lit(seed)))
-    kept = F.size(F.filter(F.sequence(F.lit(1), F.col("reads")), lambda i: F.pmod(F.xxhash64(F.col("key"), i), F.lit(1 << 30)) < F.col("depth") * (1 << 30)))
-    thin_rows = rows.withColumn("kept", kept).where("kept > 0")
-    per = thin_rows.groupBy("depth", "barcode").agg(F.sum("kept").alias("reads"), F.count("*").alias("umis"), F.count_distinct("feature").alias("features"))
-    return per.groupBy("depth").agg(F.sum("reads").alias("reads"), F.sum("umis").alias("umis"), F.percentile("umis", 0.5).alias("median_umis"), F.percentile("features", 0.5).alias("median_features")).withColumn("dup_frac", ratio(F.col("reads") - F.col("umis"), F.col("reads")))
+    """Per depth: reads, molecules, median molecules and features of barcodes, duplicate fraction; one scan for all depths.
+
+    A molecule's draws follow its key alone, so retries and layouts agree, and are nested over the depths."""
+
+    @F.pandas_udf("array<long>")
+    def draw(key: pd.Series, reads: pd.Series) -> pd.Series:
+        u = ((key.to_numpy().astype(np.uint64) >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
+        n = reads.to_numpy().astype(np.int64)
+        return pd.Series(list(np.stack([binomial_quantiles(u, n, float(d)) for d in depths], 1)))
+
+    key = F.xxhash64("barcode", "feature", "umi", "library", "gem_group", "reads", F.lit(seed))
+    drawn = mol.select("barcode", "feature", F.posexplode(draw(key, F.col("reads"))).alias("at", "kept")).where("kept > 0")
+    per = drawn.groupBy("at", "barcode", "feature").agg(F.sum("kept").alias("kept"), F.count("*").alias("umis"))
+    per = per.groupBy("at", "barcode").agg(F.sum("kept").alias("reads"), F.sum("umis").alias("umis"), F.count("*").alias("features"))
+    out = per.groupBy("at").agg(F.sum("reads").alias("reads"), F.sum("umis").alias("umis"), F.percentile("umis", 0.5).alias("median_umis"), F.percentile("features", 0.5).alias("median_features"))
+    depth = F.element_at(F.array(*(F.lit(float(d)) for d in depths)), F.col("at") + 1)
+    return out.select(depth.alias("depth"), "reads", "umis", "median_umis", "median_features", ratio(F.col("reads") - F.col("umis"), F.col("reads")).alias("dup_frac"))
 
 
 def contaminant_tags(counts: DataFrame, min_counts: int = 1000, dynamic_range: int = 50, max_cor: float = 0.5) -> DataFrame:

@@ -31,11 +31,17 @@ def feature_summary(mol: DataFrame, features: DataFrame, cells: DataFrame) -> Da
 
 
 def barcode_summary(mol: DataFrame, meta: DataFrame, feature_types: DataFrame) -> DataFrame:
-    """Per barcode, over all features and over each type: one pass, one shuffle for both levels."""
-    typed = mol.join(F.broadcast(feature_types), "feature")
+    """Per counted barcode, over all features and over each type: one pass, one shuffle for both levels.
+
+    Every counted barcode has a row for every type, with zeros where it has no counts."""
+    types = [r[0] for r in feature_types.select("feature_type").distinct().orderBy("feature_type").collect()]  # a handful
+    typed = mol.join(feature_types, "feature")
     both = typed.withColumn("feature_subset", F.explode(F.array(F.lit("all"), F.col("feature_type"))))
     agg = both.groupBy("barcode", "feature_subset").agg(F.count("*").alias("num_umis"), F.sum("reads").alias("num_reads"), F.count_distinct("feature").alias("num_features"))
-    return meta.join(agg, "barcode").withColumn("dup_frac", duplicate_fraction(F.col("num_umis"), F.col("num_reads")))
+    subsets = F.array(F.lit("all"), *map(F.lit, types))
+    every = agg.where("feature_subset = 'all'").select("barcode", F.explode(subsets).alias("feature_subset"))
+    filled = every.join(agg, ["barcode", "feature_subset"], "left").na.fill(0, ["num_umis", "num_reads", "num_features"])
+    return meta.join(filled, "barcode").withColumn("dup_frac", duplicate_fraction(F.col("num_umis"), F.col("num_reads")))
 
 
 def library_totals(mol: DataFrame) -> DataFrame:

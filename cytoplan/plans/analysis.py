@@ -201,7 +201,7 @@ def ambient_test(s, d):
     coo = R.coo(s, d)
     t = coo.groupBy("barcode").agg(F.sum("umi_count").alias("total"))
     n = t.count()
-    return C.ambient_test(coo, t, n // 2, n, t.where("total > 0"), 200)
+    return C.ambient_test(coo, t, n // 2, n, t.where("total > 0"))
 
 
 @query("coo", "select barcode, sum(umi_count)::bigint total, coalesce(sum(umi_count) filter (feature % 40 = 0), 0)::bigint mito, round(coalesce(sum(umi_count) filter (feature % 40 = 0), 0) / sum(umi_count), 6) mito_frac, coalesce(sum(umi_count) filter (feature % 40 = 0), 0) / sum(umi_count) <= 0.025 keep from coo group by 1")
@@ -389,7 +389,8 @@ def group_sample(s, d):
     return R.points(s, d).select("id", "cluster", F.row_number().over(w).alias("nth")).where("nth <= 10")
 
 
-@query()
+@query("", """
+select user_id, ts::date::timestamp "start", count(*) n, count(distinct event_type) types, round(sum(value), 2) total from events group by 1, 2""")
 def stream_user_counts(s, d):
     from ..streaming.counters import replay
 

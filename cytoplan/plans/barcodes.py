@@ -77,8 +77,9 @@ def indel_ambiguity(s, d):
 
 
 _MOVE = """
-near as (select a.barcode, a.gene, a.umi, max((b.reads, b.umi)) top from uc a join uc b on a.barcode = b.barcode and a.gene = b.gene and hamming(a.umi, b.umi) = 1
-  and (b.reads > a.reads or (b.reads = a.reads and b.umi > a.umi)) group by 1, 2, 3),
+hole as (select uc.*, i, substr(umi, 1, i - 1) || '_' || substr(umi, i + 1) mask from uc, unnest(range(1, 6)) u(i)),
+near as (select a.barcode, a.gene, a.umi, max((b.reads, b.umi)) top from hole a join hole b on a.barcode = b.barcode and a.gene = b.gene and a.mask = b.mask
+  and a.umi <> b.umi and (b.reads > a.reads or (b.reads = a.reads and b.umi > a.umi)) group by 1, 2, 3),
 mv as (select uc.*, coalesce(top[2], umi) corrected from uc left join near using (barcode, gene, umi))"""
 
 

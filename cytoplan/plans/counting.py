@@ -27,8 +27,12 @@ def feature_summary(s, d):
 
 @query("mol feat", """
 with t as (select barcode, feature, reads, unnest(['all', feature_type]) feature_subset from mol join feat using (feature)),
-a as (select barcode, feature_subset, count(*) num_umis, sum(reads)::bigint num_reads, count(distinct feature) num_features from t group by all)
-select s_suppkey barcode, s_name "name", feature_subset, num_umis, num_reads, num_features, round(1 - greatest(num_umis, 1) / greatest(num_reads, 1), 6) dup_frac from a join supplier on s_suppkey = barcode""")
+a as (select barcode, feature_subset, count(*) num_umis, sum(reads)::bigint num_reads, count(distinct feature) num_features from t group by all),
+s as (select distinct feature_type feature_subset from feat union select 'all'), b as (select distinct barcode from t),
+z as (select barcode, feature_subset, coalesce(num_umis, 0) num_umis, coalesce(num_reads, 0) num_reads, coalesce(num_features, 0) num_features
+  from b cross join s left join a using (barcode, feature_subset))
+select s_suppkey barcode, s_name "name", feature_subset, num_umis, num_reads, num_features, round(1 - greatest(num_umis, 1) / greatest(num_reads, 1), 6) dup_frac
+from z join supplier on s_suppkey = barcode""")
 def barcode_summary(s, d):
     meta = R.table(s, d, "supplier").select(F.col("s_suppkey").alias("barcode"), F.col("s_name").alias("name"))
     return C.barcode_summary(R.molecules(s, d), meta, R.features(s, d).select("feature", "feature_type")).withColumn("dup_frac", F.round("dup_frac", 6))

@@ -43,8 +43,9 @@ def good_turing(s, d):
 
 @query()
 def tag_assignment(s, d):
-    t = R.tags(s, d).select(F.lit("g1").alias("gem_group"), "barcode", F.col("feature").alias("tag"), "n")
-    return X.assign_tags(t, ["click", "view", "purchase"], 2)
+    """All event types are tags; a gem group is fitted by one task."""
+    t = R.tags(s, d).select(F.concat(F.lit("g"), F.col("barcode") % 4).alias("gem_group"), "barcode", F.col("feature").alias("tag"), "n")
+    return X.assign_tags(t, [r[0] for r in t.select("tag").distinct().orderBy("tag").collect()], 2)
 
 
 @query()
