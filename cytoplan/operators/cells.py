@@ -284,3 +284,34 @@ def klet_fractions(rate: float, most: int) -> list[float]:
 
     w = [math.exp(-rate) * rate**k / math.factorial(k) for k in range(1, most + 1)]
     return [x / sum(w) for x in w]
+
+
+def expected_cells(totals: DataFrame, most: int = 262_144, quantile: float = 0.99, steps: int = 2000) -> DataFrame:
+    """recovered, filtered, loss: the number of cells for which the barcodes within an order of magnitude of its baseline are nearest to it.
+
+    Candidates are spaced by log2. The baselines are order statistics of the largest totals only; the driver gets nothing."""
+    spark = totals.sparkSession
+    tried = sorted({int(round(2**x)) for x in np.linspace(1, np.log2(most), steps)})
+    tries = spark.createDataFrame([(c, int(round(c * (1 - quantile)))) for c in tried], "recovered long, at long")
+    positive = totals.where("total > 0").select("total")
+    head = positive.orderBy(F.col("total").desc()).limit(int(round(most * (1 - quantile))) + 1)
+    ranked = head.withColumn("r", F.row_number().over(Window.orderBy(F.col("total").desc())) - 1)
+    last = ranked.agg(F.max("r").alias("last"))
+    base = tries.join(F.broadcast(last)).withColumn("r", F.least("at", "last")).join(ranked, "r")
+    base = base.withColumn("cut", F.greatest(F.round(F.col("total") * 0.1), F.lit(1)).cast("long")).select("recovered", "cut")
+    # barcodes at or above each cut: counts by total, summed from the top
+    by_total = positive.groupBy("total").agg(F.count("*").alias("n")).unionByName(base.select(F.col("cut").alias("total")).distinct().withColumn("n", F.lit(0).cast("long")))
+    by_total = by_total.groupBy("total").agg(F.sum("n").alias("n"))
+    above = by_total.withColumn("filtered", F.sum("n").over(Window.orderBy(F.col("total").desc())))  # one row a distinct total
+    scored = base.join(above.select(F.col("total").alias("cut"), "filtered"), "cut")
+    loss = F.pow(F.col("filtered") - F.col("recovered"), 2) / F.col("recovered")
+    return scored.withColumn("loss", loss).orderBy("loss", "recovered").limit(1).select("recovered", "filtered", "loss")
+
+
+def cells_by_group(totals: DataFrame, by: list[str], expected: int, quantile: float = 0.99) -> DataFrame:
+    """Barcodes within an order of magnitude of the baseline of their group."""
+    w = Window.partitionBy(*by).orderBy(F.col("total").desc(), "barcode")
+    ranked = totals.where("total > 0").withColumn("r", F.row_number().over(w))
+    at = int(round(expected * (1 - quantile)))
+    base = ranked.groupBy(*by).agg(F.max(F.when(F.col("r") <= at + 1, F.struct("r", "total"))).alias("b")).select(*by, F.greatest(F.round(F.col("b.total") * 0.1), F.lit(1)).alias("cut"))
+    return ranked.join(F.broadcast(base), by).where(F.col("total") >= F.col("cut")).select(*by, "barcode", "total")

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import ratio
 
+#: Points of a block of the neighbour search.
+BLOCK = 4096
+
 
 def mean_var(coo: DataFrame, n_barcodes: int) -> DataFrame:
     """Mean and population variance of each feature over all barcodes, zeros included."""
@@ -113,12 +116,14 @@ def classify_two_genomes(counts: DataFrame) -> DataFrame:
     return both.withColumn("call", kind)
 
 
-def knn(points: DataFrame, k: int, blocks: int = 8) -> DataFrame:
-    """points(id, vec): the k nearest other points of each (squared distance, ties by id), exactly.
+def knn(points: DataFrame, k: int, blocks: int | None = None, others: DataFrame | None = None) -> DataFrame:
+    """points(id, vec): the k nearest other points of each (squared distance, ties by id), exactly; of others if given.
 
-    Queries meet all points in blocks; a task keeps k rows of each query, and the rest is a top-k merge."""
+    Queries meet all points in blocks of about BLOCK rows; a task keeps k rows of each query, and the rest is a top-k merge."""
+    others = points if others is None else others
+    blocks = blocks or max(8, -(-others.count() // BLOCK))
     left = points.select(F.col("id").alias("q"), F.col("vec").alias("qv"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("qb"))
-    right = points.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("pb"))
+    right = others.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("pb"))
     left = left.withColumn("pb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = right.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
@@ -139,6 +144,30 @@ def knn(points: DataFrame, k: int, blocks: int = 8) -> DataFrame:
     return part.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def mutual_pairs(one: DataFrame, two: DataFrame) -> DataFrame:
+    """Pairs a, b of points of two sets that are in each other's lists of the other set."""
+    return one.select(F.col("q").alias("a"), F.col("id").alias("b")).join(two.select(F.col("id").alias("a"), F.col("q").alias("b")), ["a", "b"], "left_semi")
+
+
+def log_scaled(coo: DataFrame, n_barcodes: int) -> DataFrame:
+    """barcode, feature, value, zero: log2(1 + count / size factor) of stored counts, centred and scaled by feature over
+    all barcodes; zero is what a count of 0 becomes. Zeros are never written out: they enter the moments by their number."""
+    logs = normalize_by_umi(coo).withColumn("value", F.log2(1 + F.col("value")))
+    m = logs.groupBy("feature").agg((F.sum("value") / n_barcodes).alias("mean"), (F.sum(F.col("value") * F.col("value")) / n_barcodes).alias("square"))
+    m = m.select("feature", "mean", F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0))).alias("sd"))
+    scaled = lambda v: F.when(F.col("sd") > 0, (v - F.col("mean")) / F.col("sd")).otherwise(0.0)
+    return logs.join(m, "feature").select("barcode", "feature", scaled(F.col("value")).alias("value"), scaled(F.lit(0.0)).alias("zero"))
+
+
+def kmeans_sweep(points: DataFrame, least: int = 2, most: int = 10) -> DataFrame:
+    """k, id, cluster for every k."""
+    out = None
+    for k in range(least, most + 1):
+        one = kmeans(points, k).withColumn("k", F.lit(k))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def mutual_neighbours(edges: DataFrame) -> DataFrame:
     """Pairs a < b that are in each other's lists."""
     back = edges.select(F.col("q").alias("id"), F.col("id").alias("q"))

@@ -127,9 +127,8 @@ def davies_bouldin(s, d):
 @query()
 def mnn_correction(s, d):
     p = R.points(s, d).select("id", F.transform("vec", lambda x: x.cast("double")).alias("vec"))
-    edges = M.mutual_neighbours(M.knn(p, 10))
     even, odd = p.where("id % 2 = 0"), p.where("id % 2 = 1")
-    pairs = edges.where("a % 2 = 0 and b % 2 = 1").unionByName(edges.where("a % 2 = 1 and b % 2 = 0").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = M.mutual_pairs(M.knn(even, 10, others=odd), M.knn(odd, 10, others=even))
     return M.mnn_correction(even, pairs, odd)
 
 

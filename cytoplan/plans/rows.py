@@ -15,11 +15,11 @@ from . import roles as R
 from .registry import query
 
 
-@query("mol", "select * from mol where umi % 1000 = 0 and umi in (select l_orderkey * 8 + 1 from lineitem)")
+@query("mol", "select * from mol where umi in (select l_orderkey * 8 + l_linenumber from lineitem where l_partkey % 100 = 0)")
 def gather_rows(s, d):
-    """Rows by a list of keys: columns are pruned and the keys filtered before the join."""
-    keys = R.table(s, d, "lineitem").select((F.col("l_orderkey") * 8 + 1).alias("umi")).where("umi % 1000 = 0").distinct()
-    return R.molecules(s, d).where("umi % 1000 = 0").join(keys, "umi", "left_semi").select("barcode", "feature", "umi", "reads", "library", "gem_group")
+    """Rows by a list of keys."""
+    keys = R.molecules(s, d).where("feature % 100 = 0").select("umi").distinct()
+    return R.molecules(s, d).join(keys, "umi", "left_semi").select("barcode", "feature", "umi", "reads", "library", "gem_group")
 
 
 @query("coo", "with b as (select barcode, row_number() over (order by barcode) - 1 place from (select distinct barcode from coo) qualify place between 3 and 7) select barcode, feature, umi_count, place from coo join b using (barcode)")

@@ -118,7 +118,8 @@ class _FastqReader(DataSourceReader):
         where, path = fs.FileSystem.from_uri(self.options["path"]) if "://" in self.options["path"] else (fs.LocalFileSystem(), self.options["path"])
         info = where.get_file_info(path)
         if info.type == fs.FileType.Directory:
-            found = [f.path for f in where.get_file_info(fs.FileSelector(path)) if re.search(r"\.fastq(\.gz)?$", f.path)]
+            names = self.options.get("names", r"\.fastq(\.gz)?$")
+            found = [f.path for f in where.get_file_info(fs.FileSelector(path)) if re.search(names, f.path)]
         else:
             found = [path]
         return [_File(p) for p in sorted(found)]
