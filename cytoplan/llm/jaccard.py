@@ -222,15 +222,15 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The linked ones of pairs(a, b), on whole texts."""
     spark = docs.sparkSession
     need = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    ids = materialize(classes.join(need, "cid", "left_semi").select("cid", F.col("doc_id").alias("d")), "ids")
+    ids = materialize(classes.join(need, "cid", "left_semi").select("cid", F.col("doc_id").alias("d"), "h"), "ids")
 
-    def own(batches):  # rows that share an id: only the text that makes the class is its text
+    def own(batches):  # rows that share an id and a hash: only the text that makes the class is its text
         hashes = WordHashes()
         for b in batches:
             ok = [class_id(s) == c if len(s := shingle_set(t, hashes)) else False for c, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
             yield b.filter(pa.array(ok, pa.bool_()))
 
-    found = docs.join(small_side(ids), docs["doc_id"].eqNullSafe(ids["d"])).select("cid", "text").mapInArrow(own, "cid long, text string")
+    found = docs.join(small_side(ids), docs["doc_id"].eqNullSafe(ids["d"]) & (F.xxhash64(docs["text"]) == ids["h"])).select("cid", "text").mapInArrow(own, "cid long, text string")
     texts = materialize(found.dropDuplicates(["cid"]), "texts")
     load = materialize(pairs.groupBy("a").agg(F.count("*").alias("m")).select("a", F.ceil(F.col("m") / SALT_MEMBERS).cast("int").alias("salts")), "load")
     lead = load.join(texts, load["a"] == texts["cid"]).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
@@ -257,7 +257,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
 def classes_of(described: DataFrame) -> DataFrame:
     """One row of each class."""
     first = described.where("n > 0").groupBy("cid").agg(F.min("row").alias("row"))
-    return materialize(described.join(small_side(materialize(first.select("row"), "reps")), "row", "left_semi").select("cid", "doc_id", "n", "sketch", "places", "prefix"), "classes")
+    return materialize(described.join(small_side(materialize(first.select("row"), "reps")), "row", "left_semi").select("cid", "doc_id", "h", "n", "sketch", "places", "prefix"), "classes")
 
 
 def class_links(docs: DataFrame, described: DataFrame) -> DataFrame:
