@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Distinct words that a task remembers the hashes of.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
 

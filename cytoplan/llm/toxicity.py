@@ -48,7 +48,7 @@ FOLDS = 3
 #: Thresholds of a window's distance in bytes, either way, and of the share of its bytes that is saved.
 STEPS, SHARES = (2, 3, 4, 5, 6, 8, 10), (0.3, 0.5, 0.7, 0.9)
 #: Tokens and windows that a task remembers.
-CACHE_WINDOWS = 150_000
+CACHE_WINDOWS = 100_000
 #: Most bytes of a window of one word; longer runs are pieces.
 PIECE = 64
 TRIM = b".,!?;:\"'()|*#%"
