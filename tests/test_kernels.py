@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytoplan.functions import align, stats
-from cytoplan.operators import cells, counting, rows
+from cytoplan.operators import cells, counting, mixtures, rows
 
 
 def plain_score(a, b, local, match=1, mismatch=-1, gap_open=-3, gap_extend=-1):
@@ -102,3 +102,16 @@ def test_concatenated_matrices_need_one_reference(spark):
     assert rows.concat_columns(coo, coo, f, f).count() == 2
     with pytest.raises(ValueError):
         rows.concat_columns(coo, coo, f, g)
+
+
+def test_simplified_line_stays_near():
+    """What is left out is within epsilon of the line between its neighbours; the ends stay."""
+    rng = random.Random(4)
+    points = [(float(i), rng.uniform(0, 10)) for i in range(60)]
+    for epsilon in (0.5, 3.0, 20.0):
+        kept = mixtures.simplify_line(points, epsilon)
+        assert kept[0] == points[0] and kept[-1] == points[-1] and set(kept) <= set(points)
+        for (x0, y0), (x1, y1) in itertools.pairwise(kept):
+            size = ((x1 - x0) ** 2 + (y1 - y0) ** 2) ** 0.5
+            assert all(abs((x1 - x0) * (y0 - y) - (x0 - x) * (y1 - y0)) / size <= epsilon + 1e-9 for x, y in points if x0 < x < x1)
+    assert mixtures.simplify_line(points, 1000.0) == [points[0], points[-1]]
