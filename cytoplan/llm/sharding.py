@@ -40,7 +40,8 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id",
         .withColumn("nth", F.row_number().over(run))
         .join(F.broadcast(bases), "part")
         .withColumn("mid2", 2 * (F.col("byte_base") + F.col("end")) - F.col("size"))
-        .withColumn("shard", F.least(F.lit(n_shards - 1), F.floor(F.col("mid2") * n_shards / F.lit(2 * max(at_byte, 1)))).cast("int"))
+        .withColumn("mid2", F.col("mid2").cast("decimal(20,0)"))
+        .withColumn("shard", F.least(F.lit(n_shards - 1), F.expr(f"mid2 * {n_shards}BD div {2 * max(at_byte, 1)}BD")).cast("int"))
         .withColumn("row", F.col("row_base") + F.col("nth") - 1)
         .select("doc_id", "size", "text_crc32", "shard", "row")
     )
