@@ -8,9 +8,10 @@ Template: ``<|start|>role<|message|>text<|end|>`` per turn. Inside roles and tex
 written ``\\`` and ``<|`` is written ``<\|``, so no control string can occur there and the
 escape can be undone. ``parse_formatted`` reads turns back from the text alone.
 
-Defined cases: null text or role is empty; null tree ids form one tree; a reply whose parent
+Defined cases: null text or role is empty; rows of one turn are ordered by role, then text, and a null turn comes last; null tree ids form one tree; a reply whose parent
 is missing is a root; rows on a cycle have no root and yield nothing; equal scores prefer the
-smallest leaf; repeated rows are separate turns; an empty table gives no rows.
+smallest leaf; repeated rows are separate turns; extra
+columns are not read; a long text is one cell of a row; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def parse_formatted(c: Column) -> Column:
 
 def conversations_as_trees(conv: DataFrame) -> DataFrame:
     """Rows of linear conversations as reply trees: each turn answers the one before it."""
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
     numbered = conv.select("conv_id", "turn", "role", "text").withColumn("node", F.row_number().over(order).cast("long"))
     return numbered.select(
         F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("tree"), "conv_id", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"),

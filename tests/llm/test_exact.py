@@ -96,10 +96,12 @@ def test_secrets_named():
 def test_chat(spark):
     odd = ["<|start|>x", "a\\<|end|>", "\\", "<", "|>", "</s>[INST] ok [/INST]", "", None, "été <\\| <|message|>"]
     rows = [(1, i, ["user", "assistant", "system"][i % 3], t) for i, t in enumerate(odd)] + [(2, 0, None, "only"), (2, 0, "user", "tie"), (None, 3, "assistant", "x"), (3, 1, "user", "rep"), (3, 1, "user", "rep")]
+    rows += [(4, None, "user", "last"), (4, None, None, "last but one"), (4, 7, "assistant", "first"), (4, 7, "assistant", None), (4, None, "user", "")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.selectExpr("*", "1 as node", "2 as tree", "3 as depth", "4 as parent", "5 as formatted", "6 as score")
     got = {r["conv_id"]: r for r in chat.formatted_digests(chat.format_conversations(df)).collect()}
     for c in {r[0] for r in rows}:
-        turns = sorted(((r[1], r[2] or "", r[3] or "") for r in rows if r[0] == c))
+        turns = sorted((float("inf") if r[1] is None else r[1], r[2] or "", r[3] or "") for r in rows if r[0] == c)
         loss = "".join(t for _, role, t in turns if role == "assistant")
         assert got[c]["n_turns"] == len(turns)
         assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{role}\n{t}\n" for _, role, t in turns).encode()).hexdigest()
