@@ -25,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. A temporary one is made only where none is set."""
+    """The folder all executors share. A temporary one is made only where none is set and all tasks run on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cytoplan-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -120,9 +122,23 @@ def drop_ascii_space(c: Column) -> Column:
     return c
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def arrow_rows(spark: SparkSession, rows: int = 512) -> None:
     """Rows of an Arrow batch: texts may be very long, so batches are kept short."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set(ARROW_ROWS, str(rows))
+
+
+@contextlib.contextmanager
+def short_batches(spark: SparkSession, rows: int):
+    """Queries that run meanwhile have this many rows to an Arrow batch; those after it what was set before."""
+    before = spark.conf.get(ARROW_ROWS)
+    arrow_rows(spark, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
 
 
 def local_path(uri: str) -> str | None:

@@ -8,7 +8,8 @@ only unused files. One record is held in memory at a time.
 
 Of records with equal payloads of at least ``min_bytes`` bytes, that with the largest id is the
 response and the others revisit it; repeated rows that share that id are responses too. A null
-payload is empty, a null id is ranked below all others. An empty table gives no rows.
+payload is empty, a null id is ranked below all others; extra columns are not read. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SharedFiles, arrow_rows, materialize, new_dir, small_side, table, text_or_empty, unique_name
+from .common import SharedFiles, materialize, new_dir, short_batches, small_side, table, text_or_empty, unique_name
 
 PIECE = 1 << 16
 #: Index entries that one read task opens.
@@ -196,18 +197,18 @@ def read_indexed(ranges: DataFrame, base: str) -> DataFrame:
 def archive_pages(pages: DataFrame, base: str, min_bytes: int = 1000) -> DataFrame:
     """Write pages(page_id, url, html) through both archive forms; the ranges of the index."""
     spark = pages.sparkSession
-    arrow_rows(spark, 64)
     html = text_or_empty("html")
     full = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.cast("binary").alias("payload"), F.sha1(html.cast("binary")).alias("digest"))
     long_enough = full.where(F.octet_length("payload") >= min_bytes)
-    # equal digests and lengths; SHA-1 is the archive's own notion of an equal payload
+    # SHA-1 is the archive's own notion of an equal payload
     groups = long_enough.groupBy("digest").agg(F.max("page_id").alias("keep_id"), F.count("*").alias("n")).where("n > 1").select("digest", "keep_id")
     groups = materialize(groups, "groups")
     keep_other = ~F.col("page_id").eqNullSafe(F.col("keep_id")) & F.col("keep_id").isNotNull() & (F.octet_length("payload") >= min_bytes)
     typed = full.join(small_side(groups), "digest", "left").withColumn("revisit", keep_other)
-    mono = materialize(write_monolithic(typed, base), "mono")
-    ranges = normalize(mono.where("n > 0").repartition(max(1, mono.count())), base)
-    return materialize(ranges, "ranges")
+    with short_batches(spark, 64):
+        mono = materialize(write_monolithic(typed, base), "mono")
+        ranges = normalize(mono.where("n > 0").repartition(max(1, mono.count())), base)
+        return materialize(ranges, "ranges")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
