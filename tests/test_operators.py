@@ -198,3 +198,44 @@ def test_csv_checks(spark, tmp_path):
     assert formats.read_csv_checked(spark, str(tmp_path / "a.csv"), "id long, name string", ["id"]).collect()[0]["id"] == 1
     with pytest.raises(ValueError):
         formats.read_csv_checked(spark, str(tmp_path / "a.csv"), "id long, name string, z int", ["z"])
+
+
+def test_rescue_and_signatures(spark):
+    from cytoplan.operators import stages as G
+
+    rec = [("a", 0, False, []), ("a", 1, False, [7]), ("a", 2, False, [7]), ("b", 0, True, [7]), ("b", 1, False, [7]), ("c", 0, False, [7]), ("c", 1, False, [8]), ("d", 0, False, [7, 8]), ("e", 0, False, [])]
+    got = G.rescued_alignments(spark.createDataFrame(rec, "read string, place int, unique boolean, genes array<int>")).collect()
+    assert {(r["read"], r["place"]): r["state"] for r in got} == {
+        ("a", 0): "demoted", ("a", 1): "promoted", ("a", 2): "demoted", ("b", 0): "unique", ("b", 1): "kept", ("c", 0): "kept", ("c", 1): "kept", ("d", 0): "kept", ("e", 0): "kept",
+    }
+    # chains 1 and 2 in 100 cells outweigh chains 2 and 3 in 4, not in 5; one chain alone has no signature
+    sub = [(0, 0, c, 100) for c in (1, 2)] + [(0, 1, c, 4) for c in (2, 3)] + [(0, 2, 1, 1)] + [(1, 0, c, 100) for c in (1, 2)] + [(1, 1, c, 5) for c in (2, 3)]
+    bad = G.signature_filter(spark.createDataFrame(sub, "clonotype int, exact int, chain int, cells int")).collect()
+    assert [(r["clonotype"], r["exact"]) for r in bad] == [(0, 1)]
+
+
+def test_receptor_and_chemistry(spark):
+    from cytoplan.operators import stages as G
+
+    ref = spark.createDataFrame([("TR", "AACCG"), ("IG", "GGTTA"), ("IG", "AACCT")], "class string, seq string")
+    lib = [("t", "xAACCGx")] * 4 + [("t", "xGGTTAx")] + [("i", "GGTTA")] + [("n", "AAAAA")] * 3 + [("u", "AACCG"), ("u", "GGTTA"), ("u", "AACCGGTTA"), ("u", "AA")]
+    reads = spark.createDataFrame([(i, n, q) for i, (n, q) in enumerate(lib)], "id int, library string, seq string")
+    got = {r["library"]: (r["n_reads"], r["tr_reads"], r["ig_reads"], r["receptor"]) for r in G.detect_receptor(reads, ref, 5, "library").collect()}
+    assert got == {"t": (5, 4, 1, "TR"), "i": (1, 0, 1, "IG"), "n": (3, 0, 0, "none"), "u": (4, 1, 1, "unclear")}
+    wl = spark.createDataFrame([("AAA",), ("CCC",)], "seq string")
+    seqs = spark.createDataFrame([("GAAAT",), ("GCCC",), ("AAA",), ("TTT",)], "seq string")
+    found = {r["name"]: (r["n_reads"], r["n_hits"], r["chosen"]) for r in G.detect_chemistry(seqs, [("x", 1, 3), ("y", 0, 3)], wl, 4, 0.05, 2.0).collect()}
+    assert found == {"x": (4, 2, True), "y": (4, 1, False)}
+    tie = G.detect_chemistry(seqs, [("x", 1, 3), ("z", 1, 3)], wl, 4, 0.05, 2.0).where("chosen")
+    assert tie.count() == 0
+
+
+def test_split_parts(spark):
+    from cytoplan.operators import stages as G
+
+    m = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (2, 20), (2, 21)], "clonotype int, node int")
+    links = spark.createDataFrame([(10, 11), (12, 20), (20, 21)], "a int, b int")
+    assert sorted((r["node"], r["part"]) for r in G.split_clonotypes(m, links).collect()) == [(10, 10), (11, 10), (12, 12), (20, 20), (21, 20)]
+    rows = [(i, 0, 2, False) for i in range(2996)] + [(9000 + i, 1, 1, False) for i in range(2)] + [(9100 + i, 2, 1, True) for i in range(2)]
+    x = G.split_singles(spark.createDataFrame(rows, "barcode int, exact int, chains int, joined boolean"))
+    assert sorted(r["part"] for r in x.where("part is not null").collect()) == [9000, 9001]
