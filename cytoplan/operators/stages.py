@@ -169,3 +169,20 @@ def label_index(cells: DataFrame, label: str) -> DataFrame:
     """Dense one-based numbers of labels, largest first. One row a label."""
     n = cells.groupBy(label).agg(F.count("*").alias("n"))
     return n.withColumn("number", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), label)).cast("long"))
+
+
+def group_draw(rows: DataFrame, by: str, key: str, most: int, seed: int) -> DataFrame:
+    """At most `most` rows of each group, drawn by the digests of their keys: the same rows for any partitions and retries."""
+    at = F.md5(F.concat_ws(":", F.col(key), F.lit(seed)))
+    return rows.withColumn("nth", F.row_number().over(Window.partitionBy(by).orderBy(at, key)).cast("long")).where(F.col("nth") <= most)
+
+
+def valid_umis(reads: DataFrame, least_quality: int) -> DataFrame:
+    """reads(id, seq, quals): whether a UMI has no N, more than one kind of base, and no base below a quality."""
+    return reads.withColumn("valid", ~F.col("seq").contains("N") & ~F.col("seq").rlike(r"^(.)\1*$") & (F.array_min("quals") >= least_quality))
+
+
+def extreme_keys(counts: DataFrame, by: str, key: str, value: str) -> DataFrame:
+    """Keys of the largest and the smallest value of each group; the smallest key of equal ones."""
+    low = F.min(F.struct(value, key))[key].alias("min_key")
+    return counts.groupBy(by).agg(F.max(F.struct(F.col(value), F.negative(key).alias("k")))["k"].alias("k"), low).select(by, (-F.col("k")).alias("max_key"), "min_key")

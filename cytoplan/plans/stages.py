@@ -297,3 +297,61 @@ def sanitized_calls(s, d):
     kept = F.map_filter("m", lambda k, v: v > 1)
     text = F.array_join(F.transform(F.map_entries(kept), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
     return n.select("barcode", F.when(F.size(kept) > 0, text).alias("calls"))
+
+
+@query("pt", """
+with t as (select id, 't' || id % 12 kind from pt), x as (select id, kind, round(vec[1]::double, 6) c1, round(vec[2]::double, 6) c2, row_number() over (partition by kind order by md5(id || ':7'), id) nth from pt join t using (id))
+select id, kind, c1, c2, nth from x where nth <= 10""")
+def projected_type_sample(s, d):
+    """Coordinates of cells with their types, at most ten cells a type by a fixed draw."""
+    p = R.points(s, d)
+    types = p.select("id", F.concat(F.lit("t"), F.col("id") % 12).alias("kind"))
+    at = p.select("id", *(F.round(F.get("vec", F.lit(i)).cast("double"), 6).alias(f"c{i + 1}") for i in range(2)))
+    return G.group_draw(at.join(types, "id"), "kind", "id", 10, 7)
+
+
+@query("", f"""
+with q as (select o_orderkey id, {R._dna('o_orderkey % 97 + 1', 6)} s, (o_orderkey % 6)::int p, case when o_orderkey % 5 = 0 then 'N' else substr('ACGT', (o_orderkey % 4 + 1)::int, 1) end b from orders),
+u as (select id, case when id % 50 = 7 then 'AAAAAA' else substr(s, 1, p) || b || substr(s, p + 2) end seq from q)
+select id, seq, not contains(seq, 'N') and seq <> repeat(substr(seq, 1, 1), 6) and list_min([5 + (id + i * 7) % 28 for i in range(1, 7)]) >= 8 valid from u""")
+def umi_validity(s, d):
+    """UMIs by their bases and their least quality."""
+    x = R.observed(s, d).withColumn("seq", F.when(F.col("id") % 50 == 7, "AAAAAA").otherwise(F.col("seq")))
+    return G.valid_umis(x, 8).select("id", "seq", "valid")
+
+
+@query("mol", """
+with c as (select barcode, feature, sum(reads)::bigint n from mol group by 1, 2), r as (select *, row_number() over (partition by barcode order by n desc, feature) a, row_number() over (partition by barcode order by n, feature) b from c)
+select barcode, max(feature) filter (a = 1) max_key, max(feature) filter (b = 1) min_key from r group by 1""")
+def extreme_features(s, d):
+    """The features with the most and the fewest reads of each barcode."""
+    c = R.molecules(s, d).groupBy("barcode", "feature").agg(F.sum("reads").alias("n"))
+    return G.extreme_keys(c, "barcode", "feature", "n")
+
+
+@query("coo feat", """
+with k as (select feature from feat where feature_type in (select feature_type from feat group by 1 order by 1 limit 2)) select barcode, feature, umi_count from coo semi join k using (feature)""")
+def select_features_by_types(s, d):
+    """Counts of features of a set of types."""
+    f = R.features(s, d)
+    kinds = f.select("feature_type").distinct().orderBy("feature_type").limit(2)
+    return R.coo(s, d).join(f.join(F.broadcast(kinds), "feature_type", "left_semi").select("feature"), "feature", "left_semi").select("barcode", "feature", "umi_count")
+
+
+@query("ctg", """
+select case chain when 'user' then 'first' when 'assistant' then 'second' else 'unrouted' end route, count(*) contigs, count(distinct barcode) barcodes, sum(umis)::bigint umis from ctg group by 1""")
+def routed_by_chain(s, d):
+    """Contigs dealt to the analysis of their chain, with what each receives."""
+    x, chain = R.contigs(s, d), F.col("chain")
+    routes = {"first": chain == "user", "second": chain == "assistant", "unrouted": chain.isNull() | ~chain.isin("user", "assistant")}
+    parts = G.union_all([x.where(on).withColumn("route", F.lit(name)) for name, on in routes.items()])
+    return parts.groupBy("route").agg(F.count("*").alias("contigs"), F.count_distinct("barcode").alias("barcodes"), F.sum("umis").alias("umis"))
+
+
+@query("bt cell mol", "select distinct gem_group, barcode, barcode || '-' || gem_group \"name\" from mol semi join cell using (barcode)")
+def gem_well_csvs(s, d):
+    """Called barcodes of each gem well written as CSV and read back as one table."""
+    called = R.molecules(s, d).select("gem_group", "barcode").distinct().join(R.cells(s, d), "barcode", "left_semi")
+    path = stage_path(s)
+    S.concat_csv([called.where(F.col("gem_group") == g).select("gem_group", "barcode", F.concat_ws("-", "barcode", "gem_group").alias("name")) for g in ("F", "O")], path)
+    return S.read_csv_checked(s, path, "gem_group string, barcode long, name string", ["gem_group", "barcode", "name"])
