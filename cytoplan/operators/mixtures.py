@@ -170,11 +170,19 @@ def perturbation_efficiency(counts: DataFrame, min_cells: int = 10, rounds: int
     return counts.groupBy("target").applyInPandas(boot, "target string, cells long, log2fc double, low double, high double")
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """A number of at least 0 scaled, rounded half up and scaled back, as SQL's round of a double; F.round goes by its decimal digits."""
+    t = c * 10.0**digits
+    whole = F.floor(t).cast("double")
+    return F.when(t < 2.0**52, whole + F.when(t - whole >= 0.5, 1.0).otherwise(0.0)).otherwise(t) / 10.0**digits
+
+
 def piecewise_fit(points: DataFrame) -> DataFrame:
     """points(group, x, y): break point of the best two straight segments, by running sums; one row a group.
 
-    All sums before and after each break come from two windows, so no row is visited per candidate."""
-    up = Window.partitionBy("group").orderBy("x", "y").rowsBetween(Window.unboundedPreceding, 0)
+    All sums before and after each break come from two windows, so no row is visited per candidate. Breaks whose
+    errors agree to six digits go to the least x; the error itself is the least of all, not rounded. Null x are last."""
+    up = Window.partitionBy("group").orderBy(F.col("x").asc_nulls_last(), "y").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("group")
     cols = {"n": F.lit(1.0), "sx": F.col("x"), "sy": F.col("y"), "sxx": F.col("x") * F.col("x"), "sxy": F.col("x") * F.col("y"), "syy": F.col("y") * F.col("y")}
     rows = points
@@ -186,8 +194,9 @@ def piecewise_fit(points: DataFrame) -> DataFrame:
         vx, vy, cxy = sxx - sx * sx / n, syy - sy * sy / n, sxy - sx * sy / n
         return F.greatest(F.lit(0.0), vy - F.coalesce(F.try_divide(cxy * cxy, vx), F.lit(0.0)))
 
-    ok = rows.where("l_n >= 2 and r_n >= 2").withColumn("sse", F.round(sse("l") + sse("r"), 6))
-    return ok.groupBy("group").agg(F.min(F.struct("sse", "x")).alias("b")).select("group", F.col("b.x").alias("break"), F.col("b.sse").alias("sse"))
+    ok = rows.where("l_n >= 2 and r_n >= 2").withColumn("sse", sse("l") + sse("r"))
+    best = F.min(F.struct(rounded(F.col("sse"), 6).alias("key"), "x"))
+    return ok.groupBy("group").agg(best.alias("b"), F.min("sse").alias("sse")).select("group", F.col("b.x").alias("break"), "sse")
 
 
 def simplify_line(points: list[tuple[float, float]], epsilon: float) -> list[tuple[float, float]]:
