@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.stats import ratio
+from ..sources.stage import stage
 
-#: Points of a block of the neighbour search.
-BLOCK = 4096
+#: Points of a block of the neighbour search; numbers of a dense block of cluster means.
+BLOCK, CELLS = 4096, 1 << 20
 
 
 def mean_var(coo: DataFrame, n_barcodes: int) -> DataFrame:
@@ -243,25 +246,56 @@ def kmeans(points: DataFrame, k: int, seed: int = 0) -> DataFrame:
     return relabel_by_size(got).select("id", "cluster")
 
 
+def cluster_distances(means: DataFrame, clusters: list) -> np.ndarray:
+    """Squared distances between the rows of means(cluster, feature, mean), absent features being 0: tasks add up
+    their features, and only a number a pair of clusters leaves them."""
+    k = len(clusters)
+    index = means.sparkSession.createDataFrame([(c, i) for i, c in enumerate(clusters)], T.StructType([T.StructField("cluster", means.schema["cluster"].dataType), T.StructField("c", T.IntegerType())]))
+    rows = means.join(F.broadcast(index), "cluster").groupBy("feature").agg(F.collect_list(F.struct("c", "mean")).alias("m")).select(F.col("m.c").alias("c"), F.col("m.mean").alias("mean"))
+
+    def add(batches):
+        total = np.zeros((k, k))
+        step = max(1, CELLS // k)
+        for b in batches:
+            for lo in range(0, b.num_rows, step):
+                c, m = (b.column(i).slice(lo, step) for i in (0, 1))
+                at = np.repeat(np.arange(len(c)), c.value_lengths().to_numpy(zero_copy_only=False))
+                dense = np.zeros((len(c), k))
+                dense[at, c.flatten().to_numpy(zero_copy_only=False)] = m.flatten().to_numpy(zero_copy_only=False)
+                for i in range(k - 1):
+                    total[i, i + 1 :] += ((dense[:, i + 1 :] - dense[:, i : i + 1]) ** 2).sum(0)
+        a, b = np.triu_indices(k, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(total[a, b])], names=["a", "b", "d"])
+
+    out = np.zeros((k, k))
+    for r in rows.mapInArrow(add, "a int, b int, d double").groupBy("a", "b").agg(F.sum("d").alias("d")).collect():
+        out[r["a"], r["b"]] = out[r["b"], r["a"]] = r["d"]
+    return out
+
+
 def hierarchical_cuts(means: DataFrame) -> DataFrame:
-    """Ward clustering of cluster means (as many rows as clusters): cluster, level, group at cuts K-5, K-10, ... 2."""
+    """Ward clustering of cluster means (as many rows as clusters): cluster, level, group at cuts K-5, K-10, ... 2.
+
+    Centres are never formed: the distances of a merged group follow from those of its parts, so the driver holds a
+    number a pair of clusters, however many features there are."""
     spark = means.sparkSession
-    rows = means.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("feature", "mean"))).alias("m")).orderBy("cluster").collect()  # one a cluster
-    names = sorted({x["feature"] for r in rows for x in r["m"]})
-    place = {f: i for i, f in enumerate(names)}
-    vec = np.zeros((len(rows), len(names)))
-    for i, r in enumerate(rows):
-        for x in r["m"]:
-            vec[i, place[x["feature"]]] = x["mean"]
-    groups = {i: ([i], vec[i], 1) for i in range(len(rows))}
-    wanted = set(range(len(rows) - 5, 1, -5)) | ({2} if len(rows) > 2 else set())
+    means = stage(means.select("cluster", "feature", "mean"))
+    clusters = [r["cluster"] for r in means.select("cluster").distinct().orderBy("cluster").collect()]
+    k = len(clusters)
+    dist = cluster_distances(means, clusters) if k > 1 else np.zeros((k, k))
+    size, members = np.ones(k), {i: [i] for i in range(k)}
+    wanted = set(range(k - 5, 1, -5)) | ({2} if k > 2 else set())
+    later = np.triu(np.ones((k, k), bool), 1)
     out = []
-    while len(groups) > 1:
-        keys = sorted(groups)
-        _, a, b = min((groups[x][2] * groups[y][2] / (groups[x][2] + groups[y][2]) * float(((groups[x][1] - groups[y][1]) ** 2).sum()), x, y) for i, x in enumerate(keys) for y in keys[i + 1 :])
-        (ma, ca, na), (mb, cb, nb) = groups.pop(a), groups.pop(b)
-        groups[a] = (ma + mb, (ca * na + cb * nb) / (na + nb), na + nb)
-        if len(groups) in wanted:
-            order = sorted(groups.values(), key=lambda g: (-g[2], min(g[0])))
-            out += [(int(rows[i]["cluster"]), len(groups), g + 1) for g, (members, _, _) in enumerate(order) for i in members]
+    while len(members) > 1:
+        cost = np.where(later, np.outer(size, size) / np.add.outer(size, size) * dist, np.inf)
+        a, b = map(int, np.unravel_index(np.argmin(cost), cost.shape))  # of equal costs the least a, then b
+        n = size[a] + size[b]
+        merged = np.maximum((size[a] * dist[a] + size[b] * dist[b]) / n - size[a] * size[b] * dist[a, b] / (n * n), 0.0)
+        dist[a], dist[:, a], dist[a, a], size[a] = merged, merged, 0.0, n
+        later[b], later[:, b] = False, False
+        members[a] += members.pop(b)
+        if len(members) in wanted:
+            order = sorted(members.values(), key=lambda g: (-len(g), min(g)))
+            out += [(int(clusters[i]), len(members), g + 1) for g, rows in enumerate(order) for i in rows]
     return spark.createDataFrame(out, "cluster int, level int, group int")

@@ -3,9 +3,11 @@
 import random
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from cytoplan.operators import matrix
 from cytoplan.plans import catalogue
 
 from .test_queries import rows
@@ -50,3 +52,34 @@ def test_sectioned_config_of_files_read_in_parts(spark, tmp_path):
             assert len(want) == 2 and got == want
     finally:
         spark.conf.unset(size)
+
+
+def plain_cuts(vec):
+    """Ward's merges with centres written out: {(cluster, level): group}."""
+    groups, out, k = {i: ([i], v, 1) for i, v in enumerate(vec)}, {}, len(vec)
+    wanted = {*range(k - 5, 1, -5), 2}
+    while len(groups) > 1:
+        keys = sorted(groups)
+        _, a, b = min((groups[x][2] * groups[y][2] / (groups[x][2] + groups[y][2]) * float(((groups[x][1] - groups[y][1]) ** 2).sum()), x, y) for i, x in enumerate(keys) for y in keys[i + 1 :])
+        (ma, ca, na), (mb, cb, nb) = groups.pop(a), groups.pop(b)
+        groups[a] = (ma + mb, (ca * na + cb * nb) / (na + nb), na + nb)
+        if len(groups) in wanted:
+            order = sorted(groups.values(), key=lambda g: (-g[2], min(g[0])))
+            out |= {(i * 3 + 1, len(groups)): g + 1 for g, (members, _, _) in enumerate(order) for i in members}
+    return out
+
+
+def test_hierarchical_cuts_keep_features_off_the_driver(spark, monkeypatch):
+    """The cuts of the plain definition, with no more sent to the driver than a number a pair of clusters."""
+    rng = np.random.default_rng(5)
+    vec = rng.integers(1, 60, (17, 400)) * (rng.random((17, 400)) < 0.3)
+    vec[4] = vec[9]
+    made = [(c * 3 + 1, f, float(x)) for c, row in enumerate(vec) for f, x in enumerate(row) if x]
+    means, sent = spark.createDataFrame(made, "cluster int, feature long, mean double"), []
+    count = lambda x: sum(map(count, x)) if isinstance(x, tuple | list) else 1
+    collect = type(means).collect
+    monkeypatch.setattr(type(means), "collect", lambda df: [sent.append(count(r)) or r for r in collect(df)])
+    cuts = matrix.hierarchical_cuts(means)
+    assert 0 < sum(sent) <= 17 * 17 * 3
+    monkeypatch.undo()
+    assert {(r["cluster"], r["level"]): r["group"] for r in cuts.collect()} == plain_cuts(vec.astype(float))
