@@ -205,22 +205,31 @@ def davies_bouldin(points: DataFrame) -> DataFrame:
     return both.groupBy("a").agg(F.first("sa").alias("spread"), worst.alias("worst")).withColumnRenamed("a", "cluster")
 
 
-def mnn_correction(current: DataFrame, pairs: DataFrame, reference: DataFrame, sigma: float = 150.0, blocks: int = 8) -> DataFrame:
+def mnn_correction(current: DataFrame, pairs: DataFrame, reference: DataFrame, sigma: float = 150.0, blocks: int | None = None) -> DataFrame:
     """Shift of each point of a batch: the mean of its pairs' differences, weighted by a Gaussian of the
-    distance to the paired points. pairs(a in current, b in reference). Points meet pairs in blocks, each
-    of which gives partial sums."""
-    diff = pairs.join(current.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(reference.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = current.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("p")).withColumn("q", every)
-    right = diff.select("va", "vb", F.pmod(F.xxhash64("a", "b"), F.lit(blocks)).cast("int").alias("q")).withColumn("p", every)
+    distance to the paired points. pairs(a in current, b in reference). The pairs of a point have one weight and are
+    added up first; then points meet paired points in blocks of about BLOCK rows, or as many blocks as given, each of which gives partial sums."""
+    ends = pairs.join(reference.select(F.col("id").alias("b"), F.posexplode("vec").alias("d", "x")), "b")
+    total = ends.groupBy("a", "d").agg(F.sum(F.col("x").cast("double")).alias("x"), F.count("*").alias("n"))
+    total = total.groupBy("a").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("d", "x")))["x"].alias("vb"))
+    paired = stage(total.join(current.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a"))
+    p, q = (blocks or max(8, -(-df.count() // BLOCK)) for df in (current, paired))
+    left = current.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(p)).cast("int").alias("p"), F.explode(F.sequence(F.lit(0), F.lit(q - 1))).alias("q"))
+    right = paired.select("va", "vb", "n", F.pmod(F.xxhash64("a"), F.lit(q)).cast("int").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(p - 1))).alias("p"))
 
     def partial(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
-            return pd.DataFrame({"id": [], "w": [], "s": []})
+            return pd.DataFrame({"id": np.array([], int), "w": np.array([], float), "s": np.array([], object)})
         at, by = np.stack(x["vec"].to_numpy()).astype(float), np.stack(y["va"].to_numpy()).astype(float)
-        shift = np.stack(y["vb"].to_numpy()).astype(float) - by
-        w = np.exp(-((at * at).sum(1)[:, None] - 2 * at @ by.T + (by * by).sum(1)) / (2 * sigma))
-        return pd.DataFrame({"id": x["id"].to_numpy(), "w": w.sum(1), "s": list(w @ shift)})
+        n = y["n"].to_numpy(float)
+        shift, square = np.stack(y["vb"].to_numpy()).astype(float) - n[:, None] * by, (by * by).sum(1)
+        step, w, s = max(1, CELLS // len(by)), [], []
+        for lo in range(0, len(at), step):  # a task holds CELLS weights at once
+            one = at[lo : lo + step]
+            part = np.exp(-((one * one).sum(1)[:, None] - 2 * one @ by.T + square) / (2 * sigma))
+            w.append(part @ n)
+            s.append(part @ shift)
+        return pd.DataFrame({"id": x["id"].to_numpy(), "w": np.concatenate(w), "s": list(np.concatenate(s))})
 
     sums = left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInPandas(partial, "id long, w double, s array<double>")
     rows = sums.select("id", "w", F.posexplode("s").alias("d", "s"))

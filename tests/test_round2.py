@@ -83,3 +83,23 @@ def test_hierarchical_cuts_keep_features_off_the_driver(spark, monkeypatch):
     assert 0 < sum(sent) <= 17 * 17 * 3
     monkeypatch.undo()
     assert {(r["cluster"], r["level"]): r["group"] for r in cuts.collect()} == plain_cuts(vec.astype(float))
+
+
+def test_neighbour_correction_holds_few_weights_at_once(spark, monkeypatch):
+    """The weighted means of a plain sum over all pairs, a hub's included, with blocks of bounded size."""
+    rng, held = np.random.default_rng(8), []
+    one, two = rng.normal(0, 3, (300, 4)), rng.normal(1, 3, (200, 4))
+    pairs = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, 300, 900), rng.integers(0, 200, 900), strict=True)} | {(7, b) for b in range(200)})
+    frame = lambda v: spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, vec array<double>")
+    current, reference, linked = frame(one), frame(two), spark.createDataFrame(pairs, "a long, b long")
+    a, b = np.array(pairs).T
+    w = np.exp(-((one[:, None] - one[a][None]) ** 2).sum(2) / 30.0)
+    want = (w @ (two[b] - one[a])) / w.sum(1)[:, None]
+    monkeypatch.setattr(matrix, "BLOCK", 16)
+    out = matrix.mnn_correction(current, linked, reference, sigma=15.0)
+    got = {(r["id"], r["d"]): r["shift"] for r in out.collect()}
+    assert len(got) == want.size and all(abs(got[i, d] - x) < 1e-9 for (i, d), x in np.ndenumerate(want))
+    cogroup = type(spark.range(1).groupBy("id")).cogroup
+    monkeypatch.setattr(type(spark.range(1).groupBy("id")), "cogroup", lambda g, h: held.extend(x._df.groupBy("p", "q").count().agg({"count": "max"}).first()[0] for x in (g, h)) or cogroup(g, h))
+    matrix.mnn_correction(current, linked, reference, sigma=15.0)
+    assert max(held) <= 3 * 16
