@@ -12,7 +12,9 @@ several words count as well. Literals of at least ``MIN_SCORE`` are added as kin
 
 Defined cases: a null text is empty; an empty text has no spans; an empty table gives no rows; repeated rows give repeated
 results; constants are followed within one document, cycles end; pairs inside a string literal count but assign no constants;
-extra columns are ignored. Each text is read whole, on its own, in time linear in its length, so tasks hold one batch of texts.
+extra columns are ignored. Each text is read whole, on its own, so tasks hold one batch of texts. Pairs inside the values of
+others count, at any depth: a value is only read when its name needs it, and values that end or nest in each other are counted
+together, so time follows the length; sums of calls that nest in each other and chains of constants are followed for each sensitive name.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -61,13 +64,76 @@ class Token(NamedTuple):
     hi: int
 
 
+class Line:
+    """Tokens of a stretch of text, with what the values in it share: ends of calls, strings, runs of bare characters."""
+
+    def __init__(self, text: str, tokens: list[Token]):
+        self.text, self.tokens, self.run = text, tokens, (0, 0)
+        self.ends = [t.hi for t in tokens]
+        self.strings = [i for i, t in enumerate(tokens) if t.kind == "string"]
+        self.calls: dict[int, int] = {}  # of an opening mark, the token after its call, which ends with the line at last
+        opened: list[int] = []
+        for i, t in enumerate(tokens):
+            if t.kind == "mark" and t.text == "(":
+                opened.append(i)
+            elif t.kind == "mark" and t.text == ")" and opened:
+                self.calls[opened.pop()] = i + 1
+            elif t.kind == "nl":
+                self.calls.update(dict.fromkeys(opened, i))
+                opened = []
+        self.calls.update(dict.fromkeys(opened, len(tokens)))
+
+    def bare(self, i: int) -> int:
+        """The end of the run of bare characters that holds the start of token i, or that start."""
+        at = self.tokens[i].lo
+        if self.tokens[i].kind not in ("name", "mark", "op"):
+            return at
+        if not self.run[0] <= at < self.run[1]:
+            m = BARE.match(self.text, at)
+            if not m:
+                return at
+            self.run = m.span()
+        return self.run[1]
+
+    def called(self, i: int, end: int) -> tuple[int, bool]:
+        """The token after the run from token i to end, and whether that opens a call of the name at i."""
+        j = bisect_right(self.ends, end, i + 1)
+        return j, self.tokens[i].kind == "name" and j < len(self.tokens) and self.tokens[j].text == "(" and self.tokens[j].lo == end
+
+    def added(self, i: int) -> bool:
+        return i < len(self.tokens) and self.tokens[i].kind == "mark" and self.tokens[i].text in "+."
+
+    def begin(self, i: int) -> int:
+        """Where a value begins whose operator is before i: brackets and line ends behind them are passed over."""
+        while i < len(self.tokens) and self.tokens[i].kind == "mark" and self.tokens[i].text in "(\\":
+            i += 1
+            while i < len(self.tokens) and self.tokens[i].kind == "nl":
+                i += 1
+        return i
+
+    def inner(self, i: int) -> list[Token]:
+        """The strings of the call that is opened at i."""
+        return [self.tokens[k] for k in self.strings[bisect_left(self.strings, i) : bisect_left(self.strings, self.calls[i])]]
+
+
 class Pair(NamedTuple):
-    """A name with the parts of its value in order: literals, or names that stand for others."""
+    """A name with the parts of its value in order, literals, some of which name others; they are read when asked for."""
 
     name: str
-    parts: list  # Literal or str
+    parts: list | None  # None: the value at a place of a line
     at: int
     inside: bool  # in a string literal
+    line: Line | None = None
+    start: int = 0
+
+    def value(self) -> list:
+        return value(self.line, self.start) if self.parts is None else self.parts
+
+    def lone(self) -> tuple[int, int] | None:
+        return lone(self.line, self.start) if self.parts is None else None
+
+    def strings(self) -> tuple[int, int] | None:
+        return strings(self.line, self.start) if self.parts is None else None
 
 
 class Literal(NamedTuple):
@@ -157,17 +223,17 @@ def block(text: str, tokens: list[Token], i: int) -> Literal | None:
     return None if lo is None else Literal("".join(lines), lo, hi, True)
 
 
-def value(text: str, tokens: list[Token], i: int) -> tuple[list, int]:
-    """The parts of the sum that begins at i, literals and names, and the end of what was read."""
+def value(line: Line, i: int) -> list:
+    """The parts of the sum that begins at i: literals, of which bare ones may be names."""
+    text, tokens = line.text, line.tokens
     out: list = []
     joined = False  # whether the last part ends in a string
     while i < len(tokens):
+        if not out:
+            i = line.begin(i)
+            if i == len(tokens):
+                break
         t = tokens[i]
-        if t.kind == "mark" and t.text in "(\\" and not out:
-            i += 1
-            while i < len(tokens) and tokens[i].kind == "nl":
-                i += 1
-            continue
         if t.kind == "string":
             piece = t.text.replace("\\\n", "")
             if joined:
@@ -177,56 +243,75 @@ def value(text: str, tokens: list[Token], i: int) -> tuple[list, int]:
                 out.append(Literal(piece, t.lo, t.hi, True))
             joined = True
             i += 1
-        elif t.kind in ("name", "mark", "op") and (m := BARE.match(text, t.lo)) and (t.kind != "op" or not out):
-            word, joined = m.group(), False
-            i += 1
-            while i < len(tokens) and tokens[i].hi <= m.end():
-                i += 1
-            if t.kind == "name" and i < len(tokens) and tokens[i].text == "(" and tokens[i].lo == m.end():
-                depth, i = 1, i + 1  # a call: its strings
-                while i < len(tokens) and depth and tokens[i].kind != "nl":
-                    if tokens[i].kind == "string":
-                        out.append(Literal(tokens[i].text, tokens[i].lo, tokens[i].hi, True))
-                    depth += (tokens[i].text == "(") - (tokens[i].text == ")") if tokens[i].kind == "mark" else 0
-                    i += 1
+        elif (t.kind != "op" or not out) and (end := line.bare(i)) > t.lo:
+            joined = False
+            j, call = line.called(i, end)
+            if call:
+                out += [Literal(x.text, x.lo, x.hi, True) for x in line.inner(j)]
+                i = line.calls[j]
             else:
-                out.append(Literal(word, *m.span(), False))
+                out.append(Literal(text[t.lo : end], t.lo, end, False))
+                i = j
         else:
             break
         if i < len(tokens) and tokens[i].kind == "string" and joined:
             continue
-        added = i < len(tokens) and tokens[i].kind == "mark" and tokens[i].text in "+."
-        if not added:
+        if not line.added(i):
             break
         i += 1
-    return out, tokens[min(i, len(tokens)) - 1].hi
+    return out
+
 
+def has_value(line: Line, i: int) -> bool:
+    """Whether value() finds parts at i, without reading them."""
+    while (i := line.begin(i)) < len(line.tokens):
+        t = line.tokens[i]
+        if t.kind == "string":
+            return True
+        end = line.bare(i)
+        if end == t.lo:
+            return False
+        j, call = line.called(i, end)
+        if not call or bisect_left(line.strings, line.calls[j]) > bisect_left(line.strings, j):
+            return True
+        if not line.added(line.calls[j]):
+            return False
+        i = line.calls[j] + 1
+    return False
+
+
+def lone(line: Line, i: int) -> tuple[int, int] | None:
+    """The run of bare characters that is all of the value at i, if it is one."""
+    i = line.begin(i)
+    if i == len(line.tokens) or (end := line.bare(i)) == line.tokens[i].lo:
+        return None
+    j, call = line.called(i, end)
+    return None if call or line.added(j) else (line.tokens[i].lo, end)
 
-#: How often the characters of a value are read again for pairs inside it, at most.
-AGAIN = 4
+
+def strings(line: Line, i: int) -> tuple[int, int] | None:
+    """The strings of the line, by their numbers, of the call that is all of the value at i, if it is one."""
+    i = line.begin(i)
+    if i == len(line.tokens) or (end := line.bare(i)) == line.tokens[i].lo:
+        return None
+    j, call = line.called(i, end)
+    return (bisect_left(line.strings, j), bisect_left(line.strings, line.calls[j])) if call and not line.added(line.calls[j]) else None
 
 
 def read(text: str, tokens: list[Token], inside: bool) -> list[Pair]:
+    """Every pair of the tokens, those inside the values of others too; only whether there is a value is read here."""
     out: list[Pair] = []
-    done, end, left = set(), 0, 0
+    done, line = set(), Line(text, tokens)
     for i, t in enumerate(tokens):
         if t.kind != "op" or t.text not in ("=", ":", ":=", "=>") or i in done or not (name := target(tokens, i)):
             continue
         if t.text == ":" and i + 1 < len(tokens) and (found := block(text, tokens, i + 1)):
             out.append(Pair(name, [found], t.lo, inside))
             continue
-        if t.lo < end and left <= 0:
-            continue
         j = typed(tokens, i) if t.text == ":" else i
         done.add(j)
-        for k in {j, i}:
-            parts, hi = value(text, tokens, k + 1)
-            out.append(Pair(name, parts, t.lo, inside))
-            if hi > end:
-                end, left = hi, AGAIN * (hi - t.lo)
-            else:
-                left -= hi - t.lo
-    return [p for p in out if p.parts]
+        out += [Pair(name, None, t.lo, inside, line, k + 1) for k in {j, i} if has_value(line, k + 1)]
+    return out
 
 
 def lex_pairs(text: str) -> list[Pair]:
@@ -283,28 +368,90 @@ def name_score(name: str) -> float:
     return min(1.2, sum(SENSITIVE.get(w, 0.0) for w in set(words)))
 
 
+#: Kinds of characters of a literal, any other being one more.
+CLASSES = (frozenset("abcdefghijklmnopqrstuvwxyz"), frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), frozenset("0123456789"))
+
+
 def literal_score(text: str, quoted: bool = False) -> float:
     """0 to 1: length, spread of characters and mixed classes; phrases of words count if quoted."""
     spaced = any(c.isspace() for c in text)
     if len(text) < MIN_LITERAL or spaced and not (quoted and len(text) >= 2 * MIN_LITERAL and len(text.split()) >= PHRASE_WORDS and "\n" not in text):
         return 0.0
-    n = len(text)
-    bits = -sum(c / n * math.log2(c / n) for c in Counter(text).values())
+    return spread_score(Counter(text), len(text), spaced)
+
+
+def spread_score(counts: Counter, n: int, spaced: bool = False) -> float:
+    bits = -math.fsum(c / n * math.log2(c / n) for c in counts.values())
     if spaced:
         return 0.7 * min(1.0, bits / 3.5)
-    classes = sum(bool(re.search(p, text)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    kinds = [not s.isdisjoint(counts) for s in CLASSES]
+    classes = sum(kinds) + any(not any(c in s for s in CLASSES) for c in counts)
     return min(1.0, bits / 4.0) * (0.5 + 0.5 * min(1.0, (classes - 1) / 2))
 
 
+class Tally:
+    """What the score of a quoted literal takes from its text, of texts put together."""
+
+    def __init__(self, text: str = ""):
+        self.counts, self.n, self.words = Counter(text), len(text), len(text.split())
+        self.opens, self.ends = text[:1].isspace(), text[-1:].isspace()
+
+    def add(self, other: Tally) -> None:
+        """Puts other behind; its counts may be taken over."""
+        if not other.n:
+            return
+        if not self.n:
+            self.opens = other.opens
+        self.words += other.words - (self.n > 0 and not self.ends and not other.opens)
+        small, large = sorted((self.counts, other.counts), key=len)
+        large.update(small)
+        self.counts, self.n, self.ends = large, self.n + other.n, other.ends
+
+    def score(self) -> float:
+        spaced = any(map(str.isspace, self.counts))
+        if self.n < MIN_LITERAL or spaced and (self.n < 2 * MIN_LITERAL or self.words < PHRASE_WORDS or self.counts["\n"]):
+            return 0.0
+        return spread_score(self.counts, self.n, spaced)
+
+
+def call_spans(line: Line, calls: list[tuple[int, int, float]]) -> list[tuple[int, int]]:
+    """Strings of calls whose strings together score, with the weight of the name, MIN_SCORE. Calls nest, so what an inner one counted is taken over."""
+    all_strings = [line.tokens[i] for i in line.strings]
+    change = [0] * (len(all_strings) + 1)
+    inner: list[tuple[int, int, Tally]] = []
+    for a, b, s in sorted(calls, key=lambda c: (-c[0], c[1])):
+        total, at = Tally(), a
+        while inner and inner[-1][1] <= b:
+            lo, hi, part = inner.pop()
+            for k in range(at, lo):
+                total.add(Tally(all_strings[k].text))
+            total.add(part)
+            at = hi
+        for k in range(at, b):
+            total.add(Tally(all_strings[k].text))
+        inner.append((a, b, total))
+        if (shape := total.score()) and s * (0.4 + shape) >= MIN_SCORE:
+            change[a] += 1
+            change[b] -= 1
+    return [(t.lo, t.hi) for t, n in zip(all_strings, accumulate(change), strict=False) if n > 0 and t.hi > t.lo]
+
+
 class Constants:
     """What names stand for, by the place of use."""
 
     def __init__(self, pairs: list[Pair]):
         self.at: dict[str, list[int]] = {}
-        self.parts: dict[str, list[list]] = {}
+        self.pairs: dict[str, list[Pair]] = {}
         for p in sorted((p for p in pairs if not p.inside), key=lambda p: p.at):
             self.at.setdefault(p.name, []).append(p.at)
-            self.parts.setdefault(p.name, []).append(p.parts)
+            self.pairs.setdefault(p.name, []).append(p)
+        self.lengths = set(map(len, self.at))
+
+    def named(self, text: str, lo: int, hi: int) -> bool:
+        """Whether what is bare from lo to hi is a name that stands for something; long runs are not looked up in vain."""
+        while lo < hi and text[lo] == "$":
+            lo += 1
+        return hi - lo in self.lengths and text[lo:hi] in self.at
 
     def literals(self, parts: list, at: int) -> list[Literal]:
         """The literals that parts at a place come to; a name goes for its last value before, else its first after."""
@@ -318,7 +465,7 @@ class Constants:
             k = max(0, bisect_left(self.at[name], use) - 1)
             if (name, k) not in seen:
                 seen.add((name, k))
-                work += [(y, self.at[name][k]) for y in reversed(self.parts[name][k])]
+                work += [(y, self.at[name][k]) for y in reversed(self.pairs[name][k].value())]
         return out
 
 
@@ -332,13 +479,31 @@ def named_spans(text: str) -> list[tuple[int, int]]:
         return []
     constants = Constants(pairs)
     found: dict[tuple[int, int], float] = {}
+    runs: dict[int, dict[int, float]] = {}
+    calls: dict[Line, list[tuple[int, int, float]]] = {}
     for p, s in scored:
-        literals = constants.literals(p.parts, p.at)
+        span = p.lone()
+        if span and not constants.named(text, *span):
+            starts = runs.setdefault(span[1], {})
+            starts[span[0]] = max(starts.get(span[0], 0.0), s)
+            continue
+        if among := p.strings():
+            calls.setdefault(p.line, []).append((*among, s))
+            continue
+        literals = constants.literals(p.value(), p.at)
         shape = literal_score("".join(x.text for x in literals), all(x.quoted for x in literals))
         for x in literals:
             if shape and x.hi > x.lo:
                 found[x.lo, x.hi] = max(found.get((x.lo, x.hi), 0.0), s * (0.4 + shape))
-    return sorted(span for span, score in found.items() if score >= MIN_SCORE)
+    for hi, starts in runs.items():  # values that end together are counted once, from the end
+        counts, end = Counter(), hi
+        for lo in sorted(starts, reverse=True):
+            counts.update(text[lo:end])
+            end = lo
+            if hi - lo >= MIN_LITERAL and (shape := spread_score(counts, hi - lo)):
+                found[lo, hi] = max(found.get((lo, hi), 0.0), starts[lo] * (0.4 + shape))
+    spans = {span for span, score in found.items() if score >= MIN_SCORE}
+    return sorted(spans.union(*(call_spans(line, those) for line, those in calls.items())))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
