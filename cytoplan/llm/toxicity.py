@@ -47,7 +47,7 @@ THRESHOLD = 0.3
 FOLDS = 3
 #: Thresholds of a window's distance in bytes, either way, and of the share of its bytes that is saved.
 STEPS, SHARES = (2, 3, 4, 5, 6, 8, 10), (0.3, 0.5, 0.7, 0.9)
-#: Tokens and windows that a task remembers.
+#: Tokens and windows that a task remembers, or as many as one batch has; of more, those of the last batch stay.
 CACHE_WINDOWS = 100_000
 #: Most bytes of a window of one word; longer runs are pieces.
 PIECE = 64
@@ -184,62 +184,71 @@ class Distances:
         self.compressors = {c: compressor(c) for two in self.words + self.runs for c in two}
         self.least = len(compressor(b"").compress(PAD))
         self.judges = len(trained)
+        self.shift = 2 * CODES * np.arange(self.judges)  # where a judge's codes begin
         names = sorted(set(chain.from_iterable(known)))
         self.code = {w: i + 1 for i, w in enumerate(names)}
         self.width = len(names) + 1
         coded = np.array([self.code[v] * self.width + self.code[w] for v, w in known], np.int64)
         order = np.argsort(coded)
         self.pairs, spelt = coded[order], list(known.values())
-        self.pair_codes = self._codes([d.pairs for d in trained], [spelt[i] for i in order]) + CODES
-        self._clear()
-
-    def _clear(self) -> None:
+        self.pair_codes = self._codes([d.pairs for d in trained], [spelt[i] for i in order]) + CODES + self.shift
         self.tokens: dict[bytes, int] = {}
-        self.windows: dict[bytes, int] = {}
-        self.steps = np.zeros((1024, self.judges), np.int32)
+        self.windows: dict[bytes, int] = {}  # numbered as they come
+        self.steps = np.zeros((1024, self.judges), np.int64)
         self.names = np.zeros(1024, np.int64)
 
+    def _forget_others(self, kept: set[bytes]) -> None:
+        """Of what is remembered, only these tokens and their windows stay."""
+        at = np.fromiter(map(self.tokens.__getitem__, kept), np.int64, len(kept))
+        rows, at = np.unique(at, return_inverse=True)
+        spelt = list(self.windows)
+        self.windows = {spelt[r]: i for i, r in enumerate(rows.tolist())}
+        self.tokens = dict(zip(kept, at.tolist(), strict=True))
+        self.steps, self.names = self.steps[rows], self.names[rows]
+
     def _codes(self, trained: list[tuple[bytes, bytes]], made: list[bytes]) -> np.ndarray:
         """By window and judge; what several judges share is compressed once."""
         padded = [w + PAD for w in made]
         sizes = {}
         for content in {c for two in trained for c in two}:
             compress = (self.compressors.get(content) or compressor(content)).compress
-            sizes[content] = np.fromiter((len(compress(w)) for w in padded), np.int64, len(padded))
+            sizes[content] = np.fromiter(map(len, map(compress, padded)), np.int64, len(padded))
         return np.array([step_codes(sizes[a], sizes[b], self.least) for a, b in trained], np.int32).reshape(len(trained), len(made)).T
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
         """For each text, its features by judge."""
         cut = [tokens(t) for t in texts]
         here = set().union(*cut)
-        if len(self.tokens) + len(here) > CACHE_WINDOWS:
-            self._clear()
         new = list(here - self.tokens.keys())
+        if len(self.tokens) + len(new) > CACHE_WINDOWS:
+            self._forget_others(here.difference(new))
         made = list(map(window, new))
-        fresh = sorted(set(made) - self.windows.keys(), key=is_run)
+        fresh = set(made) - self.windows.keys()
         if fresh:
+            runs = list(filter(is_run, fresh))
+            fresh = [*fresh.difference(runs), *runs]
             at = len(self.windows)
-            while at + len(fresh) > len(self.steps):
-                self.steps = np.concatenate([self.steps, np.zeros_like(self.steps)])
-                self.names = np.concatenate([self.names, np.zeros_like(self.names)])
-            short = len(fresh) - sum(map(is_run, fresh))
-            self.steps[at : at + short] = self._codes(self.words, fresh[:short])
-            self.steps[at + short : at + len(fresh)] = self._codes(self.runs, fresh[short:])
+            if (more := at + len(fresh) - len(self.steps)) > 0:
+                more = max(more, len(self.steps))
+                self.steps = np.concatenate([self.steps, np.zeros((more, self.judges), np.int64)])
+                self.names = np.concatenate([self.names, np.zeros(more, np.int64)])
+            short = len(fresh) - len(runs)
+            self.steps[at : at + short] = self._codes(self.words, fresh[:short]) + self.shift
+            self.steps[at + short : at + len(fresh)] = self._codes(self.runs, fresh[short:]) + self.shift
             self.names[at : at + len(fresh)] = [self.code.get(w, 0) for w in fresh]
             self.windows.update(zip(fresh, range(at, at + len(fresh)), strict=True))
         self.tokens.update(zip(new, map(self.windows.__getitem__, made), strict=True))
         get = self.tokens.__getitem__
-        shift = 2 * CODES * np.arange(self.judges)
         out = []
         for t in cut:
             at = np.fromiter(map(get, t), np.int64, len(t))
-            codes = [(self.steps[at] + shift).ravel()]
-            v = self.names[at]
-            p = v[:-1] * self.width + v[1:]
-            p = p[(v[:-1] > 0) & (v[1:] > 0)]
+            codes = [self.steps.take(at, 0).ravel()]
+            v = self.names.take(at)
+            first = np.flatnonzero((v[:-1] > 0) & (v[1:] > 0))
+            p = v[first] * self.width + v[first + 1]
             if len(p) and len(self.pairs):
                 j = np.minimum(np.searchsorted(self.pairs, p), len(self.pairs) - 1)
-                codes.append((self.pair_codes[j[self.pairs[j] == p]] + shift).ravel())
+                codes.append(self.pair_codes[j[self.pairs[j] == p]].ravel())
             counts = np.bincount(np.concatenate(codes), minlength=2 * CODES * self.judges).reshape(self.judges, 2, CODES)
             out.append(features(counts, len(t)))
         return out

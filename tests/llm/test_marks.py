@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from cytoplan.llm import toxicity
 
 
@@ -75,3 +77,19 @@ def test_the_dictionaries_decide():
         j.trained = toxicity.Dictionaries(j.trained.words[::-1], j.trained.pairs[::-1], j.trained.runs[::-1])
     after = model.scores(texts)
     assert sum(a < b for a, b in zip(after, before, strict=True)) > 95
+
+
+def test_what_the_last_batch_shares_is_not_compressed_again(monkeypatch):
+    one = toxicity.Dictionaries((b" plain text ", b" wicked goblin "), (b"", b""), (b"", b""))
+    known = {(b" wicked ", b" goblin "): b" wicked goblin "}
+    common = [f"common{i}" for i in range(30)]
+    batches = [[" ".join([*common, f"only{b}", "wicked goblin", f"x{b}" * 40, f"common{b}!"])] for b in range(6)]
+    fresh = [toxicity.Distances([one, one], known).of(b) for b in batches]
+    monkeypatch.setattr(toxicity, "CACHE_WINDOWS", 40)
+    distances = toxicity.Distances([one, one], known)
+    compressed, codes = [], distances._codes
+    monkeypatch.setattr(distances, "_codes", lambda trained, made: compressed.extend(made) or codes(trained, made))
+    for b, expected in zip(batches, fresh, strict=True):
+        np.testing.assert_array_equal(distances.of(b), expected)
+        assert len(distances.windows) <= len(distances.tokens) <= 60
+    assert sum(w.startswith(b" common") for w in compressed) == len(common)
