@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, keep_one_row, materialize, n_shuffle, small_side, table, text_or_empty
-from .shingles import WordHashes, gram_hashes, words_of
+from .shingles import distinct, gram_hashes, word_hashes, words_of
 
 GRAM = 5
 #: Similarity in hundredths.
@@ -51,10 +51,10 @@ COUNT_TOKENS = 500_000
 _ONE = np.uint64(1)
 
 
-def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes."""
-    h = hashes.of(words_of(text, lower=True))
-    return np.unique(gram_hashes(h, min(GRAM, len(h)))) if len(h) else h
+    h = word_hashes(words_of(text, lower=True))
+    return distinct(gram_hashes(h, min(GRAM, len(h)))) if len(h) else h
 
 
 def class_id(s: np.ndarray) -> int:
@@ -106,7 +106,7 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def gather(batches):
         """A bucket's tokens of a run of texts: those met once, and those met more often with their counts."""
-        hashes, held, n = WordHashes(), [], 0
+        held, n = [], 0
 
         def parts(tokens):
             ends = np.searchsorted(tokens, np.arange(1, (1 << bits) + 1, dtype=np.uint64) << np.uint64(rest))
@@ -124,7 +124,7 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
         for b in batches:
             for text in b.column(0).to_pylist():
-                s = shingle_set(text, hashes)
+                s = shingle_set(text)
                 if len(s):
                     held.append(s)
                     n += len(s)
@@ -178,12 +178,11 @@ def describe(docs: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((frequent, rank))
 
     def run(batches):
-        hashes = WordHashes()
         frequent, rank = sent.value
         for b in batches:
             n, cid, sk, pl, pre = [], [], [], [], []
             for text in b.column(3).to_pylist():
-                s = shingle_set(text, hashes)
+                s = shingle_set(text)
                 n.append(len(s))
                 cid.append(class_id(s) if len(s) else None)
                 odd, some = sketches(s)
@@ -225,9 +224,8 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     ids = materialize(classes.join(need, "cid", "left_semi").select("cid", F.col("doc_id").alias("d"), "h"), "ids")
 
     def own(batches):  # rows that share an id and a hash: only the text that makes the class is its text
-        hashes = WordHashes()
         for b in batches:
-            ok = [class_id(s) == c if len(s := shingle_set(t, hashes)) else False for c, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            ok = [class_id(s) == c if len(s := shingle_set(t)) else False for c, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
             yield b.filter(pa.array(ok, pa.bool_()))
 
     found = docs.join(small_side(ids), docs["doc_id"].eqNullSafe(ids["d"]) & (F.xxhash64(docs["text"]) == ids["h"])).select("cid", "text").mapInArrow(own, "cid long, text string")
@@ -238,11 +236,11 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     member = salted.join(texts, salted["b"] == texts["cid"]).select("a", "salt", "b", "text")
 
     def compare(batches):
-        hashes, key, leader = WordHashes(), None, None
+        key, leader = None, None
         for batch in batches:
             out: tuple[list, list] = ([], [])
             for a, salt, b, text in zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "b", "text")), strict=True):
-                s = shingle_set(text, hashes)
+                s = shingle_set(text)
                 if b is None:
                     key, leader = (a, salt), s
                 elif key == (a, salt) and similar(leader, s):

@@ -37,3 +37,31 @@ def test_link_counts_of_near_copies(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sum(n * k for (_, n), k in want(rows_of(df)).items()) > 500
     assert got(df) == want(rows_of(df))
+
+
+def test_shingle_sets_take_no_python_call_a_word():
+    """Sets as defined, by as many Python calls for a thousand new words as for a hundred."""
+    import sys
+
+    import numpy as np
+    import xxhash
+
+    from cytoplan.llm.shingles import gram_hashes
+
+    def defined(text):
+        words = np.array([xxhash.xxh64_intdigest(w) for w in text.encode().lower().split()], np.uint64)
+        return sorted({int(gram_hashes(words[i : i + min(5, len(words))], min(5, len(words)))[0]) for i in range(max(1, len(words) - 4))}) if len(words) else []
+
+    def calls(text):
+        seen = []
+        sys.setprofile(lambda frame, event, arg: event == "call" and seen.append(frame.f_code.co_name))
+        try:
+            found = jaccard.shingle_set(text)
+        finally:
+            sys.setprofile(None)
+        assert found.dtype == np.uint64 and found.tolist() == defined(text)
+        return len(seen)
+
+    for text in ("", " \t ", "One", "one two", "a b c d e " * 9, "a b " + "é " * 30):
+        calls(text)
+    assert calls(" ".join(f"few{i}" for i in range(100))) == calls(" ".join(f"Many{i}" for i in range(1000)))
